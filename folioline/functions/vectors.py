@@ -11,13 +11,6 @@ def has_width(vector: Column, width: int) -> Column:
     return F.coalesce(vector.isNotNull() & full, F.lit(False))
 
 
-def unit(vector: Column) -> Column:
-    """Scaled to length 1, as float; an all-zero vector stays as it is."""
-    squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    norm = F.when(squares > 0, F.sqrt(squares)).otherwise(F.lit(1.0))
-    return F.transform(vector, lambda x: (x.cast("double") / norm).cast("float"))
-
-
 def token_bucket(token: Column, width: int) -> Column:
     """Bucket 0 … width-1 from the first 32 bits of the token's MD5."""
     head = F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long")

@@ -11,36 +11,60 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioline.functions.text import tokens
-from folioline.functions.vectors import token_bucket, unit
+from folioline.functions.vectors import token_bucket
 
 # Builds, once per Python worker, a function from a list of texts to one vector each.
 EmbedderFactory = Callable[[], Callable[[list[str]], "list | np.ndarray"]]
 
 
+def _count_cells(buckets: pa.Array, width: int) -> np.ndarray:
+    """Rows of bucket numbers to a row-by-bucket matrix of counts, by one ``bincount`` per batch."""
+    rows = len(buckets)
+    lengths = np.asarray(buckets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    flat = np.asarray(buckets.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
+    cells = np.repeat(np.arange(rows), lengths) * width + flat
+    return np.bincount(cells, minlength=rows * width).reshape(rows, width)
+
+
+def _as_lists(matrix: np.ndarray) -> pa.Array:
+    rows, width = matrix.shape
+    offsets = np.arange(0, rows * width + 1, width, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
+
+
+def _buckets(text: Column, width: int) -> Column:
+    return F.transform(tokens(text), lambda token: token_bucket(token, width))
+
+
 def bucket_counts(text: Column, width: int) -> Column:
     """``array<int>`` of ``width`` token counts per hash bucket.
 
-    Hashing runs in the JVM; a whole Arrow batch is counted by one ``bincount``. The row stays
-    where it is: no shuffle, whatever the length of the text.
+    Hashing runs in the JVM, counting in Arrow batches. The row stays where it is: no shuffle,
+    whatever the length of the text.
     """
 
     @F.arrow_udf("array<int>")
     def count(buckets: pa.Array) -> pa.Array:
-        rows = len(buckets)
-        lengths = np.asarray(buckets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        flat = np.asarray(buckets.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
-        cells = np.repeat(np.arange(rows), lengths) * width + flat
-        counts = np.bincount(cells, minlength=rows * width).astype(np.int32)
-        offsets = np.arange(0, rows * width + 1, width, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts))
+        return _as_lists(_count_cells(buckets, width).astype(np.int32))
+
+    return count(_buckets(text, width))
+
+
+def hashed_vector(text: Column, width: int) -> Column:
+    """The counts scaled to length 1, as floats; all zero where the text has no token."""
+
+    @F.arrow_udf("array<float>")
+    def scale(buckets: pa.Array) -> pa.Array:
+        counts = _count_cells(buckets, width).astype(np.float64)
+        norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return _as_lists((counts / np.where(norms > 0, norms, 1.0)).astype(np.float32))
 
-    return count(F.transform(tokens(text), lambda token: token_bucket(token, width)))
+    return scale(_buckets(text, width))
 
 
 def hash_embed(df: DataFrame, text_col: str, width: int, out: str = "embeddings") -> DataFrame:
-    """Add the hashed bag of words as a unit vector of floats."""
-    counted = df.withColumn("_counts", bucket_counts(F.col(text_col), width))
-    return counted.withColumn(out, unit(F.col("_counts"))).drop("_counts")
+    """Add the hashed bag of words."""
+    return df.withColumn(out, hashed_vector(F.col(text_col), width))
 
 
 def hashed_terms(df: DataFrame, keep: list[str], text_col: str, width: int) -> DataFrame:

@@ -42,6 +42,7 @@ class Best:
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
+        # rounded score a page has to reach, per query
         self.floor = np.full(n_queries, -np.inf)
         self.query = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
@@ -49,12 +50,12 @@ class Best:
 
     def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
         """``scores`` has a row per page and a column per query; NaN means no match."""
-        scores = np.round(scores, SCORE_DECIMALS)
-        scores[np.isnan(scores)] = -np.inf
-        if len(scores) >= self.k:
-            cut = np.partition(scores, len(scores) - self.k, axis=0)[len(scores) - self.k]
+        ranked = np.round(scores, SCORE_DECIMALS)
+        ranked[np.isnan(ranked)] = -np.inf
+        if len(ranked) >= self.k:
+            cut = np.partition(ranked, len(ranked) - self.k, axis=0)[len(ranked) - self.k]
             np.maximum(self.floor, cut, out=self.floor)
-        row, query = np.nonzero((scores >= self.floor) & np.isfinite(scores))
+        row, query = np.nonzero((ranked >= self.floor) & np.isfinite(ranked))
         if len(row) == 0:
             return
         self.query = np.concatenate([self.query, query])
@@ -63,12 +64,13 @@ class Best:
         self._shrink()
 
     def _shrink(self) -> None:
+        ranked = np.round(self.score, SCORE_DECIMALS)
         place = np.unique(self.ids, return_inverse=True)[1].ravel()
-        order = np.lexsort((place, -self.score, self.query))
+        order = np.lexsort((place, -ranked, self.query))
         query = self.query[order]
         nth = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         last = order[nth == self.k - 1]
-        self.floor[self.query[last]] = np.maximum(self.floor[self.query[last]], self.score[last])
+        self.floor[self.query[last]] = np.maximum(self.floor[self.query[last]], ranked[last])
         keep = order[nth < self.k]
         self.query, self.score, self.ids = self.query[keep], self.score[keep], self.ids[keep]
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from folioline.fixed import BM25_B, BM25_K1
 from folioline.functions.text import tokens
+from folioline.session import small_frame
 from folioline.operators.ranking import bm25_by_blocks, bm25_by_broadcast, top_k
 
 # Sizes of a query set, in (query, term) pairs, up to which it is part of the plan or broadcast.
@@ -87,11 +88,12 @@ def bm25_topk(
         pairs = [(query, term) for query, terms in queries.items() for term in sorted(set(terms))]
         if not pairs:
             raise ValueError("no query terms")
-        queries = pages.sparkSession.createDataFrame(pairs, ["query_id", "term"])
     else:
         queries = queries.select("query_id", "term").where(F.col("term").isNotNull()).distinct()
         pairs = [tuple(row) for row in queries.limit(broadcast_pairs + 1).collect()]
     words = pages.select(id_col, tokens(F.col(text_col)).alias("_words"))
+    if not isinstance(queries, DataFrame) and len(pairs) > inline_terms:
+        queries = small_frame(pages.sparkSession, pairs, ["query_id", "term"])
     if len(pairs) > broadcast_pairs:
         return top_k(bm25_by_blocks(words, queries, k, id_col, k1, b), "query_id", "score", id_col, k)
     if len(pairs) > inline_terms:
@@ -102,13 +104,17 @@ def bm25_topk(
     return _bm25_inline(words, wanted, k, id_col, k1, b)
 
 
+def _equals(term: str):
+    return lambda word: word == term
+
+
 def _bm25_inline(words, wanted, k, id_col, k1, b) -> DataFrame:
     vocabulary = sorted({term for terms in wanted.values() for term in terms})
     hits = words.select(id_col, F.size("_words").alias("_len"),
                         F.filter("_words", lambda w: w.isin(vocabulary)).alias("_hits"))
     tf_names = [f"_tf{i}" for i in range(len(vocabulary))]
     counted = hits.select(id_col, "_len", *[
-        F.size(F.filter("_hits", lambda w, term=term: w == term)).cast("double").alias(name)
+        F.size(F.filter("_hits", _equals(term))).cast("double").alias(name)
         for name, term in zip(tf_names, vocabulary)
     ])
     # one row, one pass: page count, mean length and every document frequency
@@ -135,8 +141,7 @@ def _bm25_inline(words, wanted, k, id_col, k1, b) -> DataFrame:
 
 def expand_terms(terms: Iterable[str], stem_map: DataFrame) -> DataFrame:
     """``(term)``: every token with the stem of one of ``terms``, and the terms themselves."""
-    spark = stem_map.sparkSession
-    asked = spark.createDataFrame([(t,) for t in sorted(set(terms))], "token string")
+    asked = small_frame(stem_map.sparkSession, [(t,) for t in sorted(set(terms))], ["token"])
     stems = asked.join(stem_map, "token", "left").select(F.coalesce("stem", "token").alias("stem")).distinct()
     related = stem_map.join(stems, "stem", "left_semi").select("token")
     return related.unionByName(asked).distinct().withColumnRenamed("token", "term")

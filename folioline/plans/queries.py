@@ -12,15 +12,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.functions import html as H, ids as I, text as T, urls as U
-from folioline.functions.vectors import has_width, unit
 from folioline.operators import audit, checks, links as L, lookup, pages as P, search, upsert
-from folioline.operators.embed import bucket_counts, embed, hash_embed, hashed_terms
+from folioline.operators.embed import embed, hash_embed, hashed_terms
 from folioline.operators.extract import extract_text
 from folioline.operators.nearest import knn_cosine
 from folioline.plans.crawl import crawl
 from folioline.plans.ingest import Ingest
-from folioline.schema import DOCUMENTS
-from folioline.session import scratch_dir
+from folioline.session import scratch_dir, small_frame
 from folioline.sinks.blobs import read_saved, save_blobs
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
@@ -37,7 +35,7 @@ ORACLES: dict[str, str] = {}
 TERMS = ["der", "die", "und"]
 STEMS = [("der", "d"), ("die", "d"), ("das", "d"), ("des", "d"), ("den", "d"), ("dem", "d"),
          ("und", "und"), ("von", "von"), ("zu", "zu"), ("nicht", "nicht")]
-HOSTS = ["thther.example.org", "blog.ththan.example.net", "spam-farm.example.org"]
+HOSTS = ["m.tionsh.example.net", "blog.tionsh.example.net", "blog.tionsh.example.com", "spam-farm.example.org"]
 
 
 def register(name: str, sql: str | None = None):
@@ -590,7 +588,7 @@ def analyze_tokens(spark, sf_dir):
          t AS (SELECT doc_id, unnest({SQL_WORDS}) AS token FROM documents)
     SELECT coalesce(stem, t.token) AS token, count(*) AS n FROM t LEFT JOIN s ON t.token = s.token GROUP BY 1""")
 def analyze_tokens_stem_map(spark, sf_dir):
-    stems = spark.createDataFrame(STEMS, "token string, stem string")
+    stems = small_frame(spark, STEMS, ["token", "stem"])
     tokens = search.analyze_tokens(_table(spark, sf_dir, "documents"), [], stem_map=stems)
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 

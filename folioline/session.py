@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def build_session(app: str = "folioline", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -44,3 +45,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="folioline-")
     return f"{base.rstrip('/')}/folioline-{purpose}-{uuid.uuid4().hex}"
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, without starting any Python worker."""
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(0).select(*columns)
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A handful of driver-side rows as a local relation, whose size Spark knows when it plans joins."""
+    columns = list(zip(*rows)) if rows else [[] for _ in names]
+    return spark.createDataFrame(pa.table({name: pa.array(column) for name, column in zip(names, columns)}))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from folioline.session import empty_frame
+
 SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("link", T.StringType()),
@@ -67,7 +69,7 @@ def _stored(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SCHEMA)
+        return empty_frame(spark, SCHEMA)
 
 
 def landed_paths(spark: SparkSession, root: str, other_than: int | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from folioline.functions.ids import document_id
 from folioline.operators.pages import part_of
 from folioline.operators.upsert import insert_strict, upsert_documents, upsert_pages
 from folioline.schema import DOCUMENT_PAGES, DOCUMENTS
+from folioline.session import empty_frame
 
 BUCKETS = 256
 PAGES_PER_CHUNK = 1024
@@ -26,8 +27,8 @@ _MANIFEST = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("n_buckets", T.IntegerType()),
-    T.StructField("documents", T.MapType(T.IntegerType(), T.LongType())),
-    T.StructField("pages", T.MapType(T.IntegerType(), T.LongType())),
+    T.StructField("documents", T.MapType(T.StringType(), T.LongType())),
+    T.StructField("pages", T.MapType(T.StringType(), T.LongType())),
 ])
 
 
@@ -48,17 +49,21 @@ class PageStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _MANIFEST)
-
-    def _newest(self) -> dict:
-        rows = self._manifests().orderBy(F.desc("version")).limit(1).collect()
-        if rows:
-            return rows[0].asDict()
-        return {"version": 0, "n_buckets": self._n_buckets, "documents": {}, "pages": {}}
-
-    def _load(self, table: str, schema: T.StructType, folders: dict[int, int]) -> DataFrame:
+            return empty_frame(self.spark, _MANIFEST)
+
+    def _newest(self, batch_id: int | None = None) -> dict:
+        """The newest manifest, and whether any manifest is that of ``batch_id``."""
+        row = self._manifests().agg(
+            F.max_by(F.struct(*_MANIFEST.names), "version").alias("m"),
+            F.coalesce(F.bool_or(F.col("batch_id") == F.lit(batch_id).cast("long")), F.lit(False)).alias("done"),
+        ).first()
+        newest = row["m"].asDict() if row["m"] else {
+            "version": 0, "n_buckets": self._n_buckets, "documents": {}, "pages": {}}
+        return {**newest, "committed": row["done"]}
+
+    def _load(self, table: str, schema: T.StructType, folders: dict[str, int]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         paths = [f"{self.root}/{table}/v={v}/b={b}" for b, v in sorted(folders.items())]
         frame = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths)
         return frame.select(*schema.names)
@@ -79,7 +84,7 @@ class PageStore:
                 self._load("pages", DOCUMENT_PAGES, newest["pages"]))
 
     def committed(self, batch_id: int) -> bool:
-        return not self._manifests().where(F.col("batch_id") == batch_id).isEmpty()
+        return self._newest(batch_id)["committed"]
 
     # writing
 
@@ -92,9 +97,9 @@ class PageStore:
         ``mode`` is that of the page upsert, or ``strict``: a path that exists already fails the commit.
         Both frames are read more than once, so they should be stored tables rather than long plans.
         """
-        if self.committed(batch_id):
-            return self.version()
-        newest = self._newest()
+        newest = self._newest(batch_id)
+        if newest["committed"]:
+            return newest["version"]
         version, buckets = newest["version"] + 1, newest["n_buckets"]
 
         def document_bucket(key: Column) -> Column:
@@ -134,7 +139,7 @@ class PageStore:
 
         At most one number per bucket comes to the driver.
         """
-        touched = [r["b"] for r in batch.select(bucket.alias("b")).distinct().collect()]
+        touched = [str(r["b"]) for r in batch.select(bucket.alias("b")).distinct().collect()]
         stored = {b: folders[b] for b in touched if b in folders}
         return self._load(table, schema, stored), {b: version for b in touched}
 
