@@ -40,8 +40,7 @@ def hrefs(html: Column) -> Column:
 
 def table_rows(html: Column) -> Column:
     """The markup of each table row, from its ``<tr`` up to the next one."""
-    parts = F.split(html, r"(?i)<tr(?=[\s>])")
-    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.filter(F.split(html, r"(?i)<tr(?=[\s>])"), lambda part, i: i > 0)
 
 
 def first_cell_text(row: Column) -> Column:
@@ -52,8 +51,8 @@ def first_cell_text(row: Column) -> Column:
 def first_href_of_type(row: Column, link_type: str) -> Column:
     """``href`` of the first anchor with ``type=link_type`` in any cell; NULL where there is none."""
     typed = F.filter(anchor_tags(row), lambda tag: attribute(tag, "type") == link_type)
-    tag = F.get(typed, F.lit(0))
-    return F.when(has_attribute(tag, "href"), attribute(tag, "href"))
+    targets = F.transform(typed, lambda tag: F.when(has_attribute(tag, "href"), attribute(tag, "href")))
+    return F.get(targets, F.lit(0))
 
 
 def year_options(html: Column) -> Column:

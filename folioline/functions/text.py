@@ -9,14 +9,17 @@ from pyspark.sql import Column, functions as F
 
 from folioline.fixed import PAGE_BREAK
 
-# Unicode white space; Java's \s alone is ASCII only.
-BLANK = r"[\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-NOT_BLANK = r"[^\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The 25 code points with the Unicode property White_Space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+# The same as a pattern: plain \\s is ASCII only.
+BLANK = r"(?U:\s)"
+NOT_BLANK = r"(?U:\S)"
 
 
 def trim_space(col: Column) -> Column:
-    """Strip Unicode white space on both ends (``trim`` strips blanks only)."""
-    return F.regexp_replace(col, f"^{BLANK}+|{BLANK}+\\z", "")
+    """Strip Unicode white space on both ends (``trim`` alone strips blanks only)."""
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def to_int(col: Column) -> Column:
@@ -36,7 +39,7 @@ def drop_empty_pages(parts: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Maximal runs of non-blank characters, as they stand."""
-    return F.filter(F.split(text, f"{BLANK}+"), lambda token: token != "")
+    return F.array_remove(F.split(text, f"{BLANK}+"), "")
 
 
 def highlight(text: Column, terms: Iterable[str], before: str = "<b>", after: str = "</b>") -> Column:

@@ -9,9 +9,3 @@ def has_width(vector: Column, width: int) -> Column:
     """True only for a vector of ``width`` elements, none of them NULL."""
     full = (F.size(vector) == width) & ~F.exists(vector, lambda x: x.isNull())
     return F.coalesce(vector.isNotNull() & full, F.lit(False))
-
-
-def token_bucket(token: Column, width: int) -> Column:
-    """Bucket 0 … width-1 from the first 32 bits of the token's MD5."""
-    head = F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long")
-    return F.pmod(head, F.lit(width)).cast("int")

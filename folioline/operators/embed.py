@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 
@@ -11,17 +12,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioline.functions.text import tokens
-from folioline.functions.vectors import token_bucket
 
 # Builds, once per Python worker, a function from a list of texts to one vector each.
 EmbedderFactory = Callable[[], Callable[[list[str]], "list | np.ndarray"]]
 
 
-def _count_cells(buckets: pa.Array, width: int) -> np.ndarray:
-    """Rows of bucket numbers to a row-by-bucket matrix of counts, by one ``bincount`` per batch."""
-    rows = len(buckets)
-    lengths = np.asarray(buckets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    flat = np.asarray(buckets.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
+def token_bucket(token: str, width: int) -> int:
+    """Bucket 0 ... width-1 from the first 32 bits of the token's MD5."""
+    return int.from_bytes(hashlib.md5(token.encode("utf-8"), usedforsecurity=False).digest()[:4], "big") % width
+
+
+def _count_cells(words: pa.Array, width: int) -> np.ndarray:
+    """Rows of tokens to a row-by-bucket matrix of counts.
+
+    Within an Arrow batch each distinct token is hashed once and all are counted by one ``bincount``.
+    """
+    rows = len(words)
+    lengths = np.asarray(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    encoded = words.flatten().dictionary_encode()
+    buckets = np.array([token_bucket(t, width) for t in encoded.dictionary.to_pylist()], dtype=np.int64)
+    flat = buckets[encoded.indices.to_numpy(zero_copy_only=False)]
     cells = np.repeat(np.arange(rows), lengths) * width + flat
     return np.bincount(cells, minlength=rows * width).reshape(rows, width)
 
@@ -32,34 +42,31 @@ def _as_lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
 
 
-def _buckets(text: Column, width: int) -> Column:
-    return F.transform(tokens(text), lambda token: token_bucket(token, width))
-
-
 def bucket_counts(text: Column, width: int) -> Column:
     """``array<int>`` of ``width`` token counts per hash bucket.
 
-    Hashing runs in the JVM, counting in Arrow batches. The row stays where it is: no shuffle,
-    whatever the length of the text.
+    Tokens are split in the JVM and counted in Arrow batches. The row stays where it is: no
+    shuffle, whatever the length of the text.
     """
 
     @F.arrow_udf("array<int>")
-    def count(buckets: pa.Array) -> pa.Array:
-        return _as_lists(_count_cells(buckets, width).astype(np.int32))
+    def count(words: pa.Array) -> pa.Array:
+        return _as_lists(_count_cells(words, width).astype(np.int32))
 
-    return count(_buckets(text, width))
+    # nondeterministic: else filters on the result would be pushed down as a second evaluation
+    return count.asNondeterministic()(tokens(text))
 
 
 def hashed_vector(text: Column, width: int) -> Column:
     """The counts scaled to length 1, as floats; all zero where the text has no token."""
 
     @F.arrow_udf("array<float>")
-    def scale(buckets: pa.Array) -> pa.Array:
-        counts = _count_cells(buckets, width).astype(np.float64)
+    def scale(words: pa.Array) -> pa.Array:
+        counts = _count_cells(words, width).astype(np.float64)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return _as_lists((counts / np.where(norms > 0, norms, 1.0)).astype(np.float32))
 
-    return scale(_buckets(text, width))
+    return scale.asNondeterministic()(tokens(text))
 
 
 def hash_embed(df: DataFrame, text_col: str, width: int, out: str = "embeddings") -> DataFrame:

@@ -123,8 +123,8 @@ def _bm25_inline(words, wanted, k, id_col, k1, b) -> DataFrame:
         F.avg("_len").alias("avg_len"),
         F.array(*[F.count_if(F.col(name) > 0).cast("double") for name in tf_names]).alias("df"),
     ).alias("s"))
-    hit = reduce(lambda x, y: x | y, [F.col(name) > 0 for name in tf_names])
-    scored = counted.where(hit).withColumn("_s", stats.scalar())
+    # no filter before the scores: pushed down it would split each text again for every term
+    scored = counted.withColumn("_s", stats.scalar())
     parts = {
         term: _idf(F.col("_s.n"), F.get("_s.df", F.lit(i)))
         * _saturated(F.col(tf_names[i]), F.col("_len"), F.col("_s.avg_len"), k1, b)

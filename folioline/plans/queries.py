@@ -18,7 +18,7 @@ from folioline.operators.extract import extract_text
 from folioline.operators.nearest import knn_cosine
 from folioline.plans.crawl import crawl
 from folioline.plans.ingest import Ingest
-from folioline.session import scratch_dir, small_frame
+from folioline.session import scratch_dir, small_frame, spread
 from folioline.sinks.blobs import read_saved, save_blobs
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
@@ -51,6 +51,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table whose texts are taken apart; a single small file is spread over the cores first."""
+    return spread(_table(spark, sf_dir, name))
+
+
 def _instant(day: int):
     return F.to_timestamp(F.lit(f"2024-09-{day:02d} 12:00:00"))
 
@@ -281,7 +286,7 @@ def crawl_links(spark, sf_dir):
 @register("trim_space", "SELECT doc_id, md5(trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')) AS digest FROM documents")
 def trim_space(spark, sf_dir):
     padded = F.concat(F.lit(" \t\f\n "), F.col("text"), F.lit(" \r\n"))
-    return _table(spark, sf_dir, "documents").select("doc_id", _hex(T.trim_space(padded)).alias("digest"))
+    return _texts(spark, sf_dir).select("doc_id", _hex(T.trim_space(padded)).alias("digest"))
 
 
 @register("filter_in", "SELECT doc_id, source FROM documents WHERE source IN ('src3', 'src7')")
@@ -301,14 +306,14 @@ def _broken_text(breaks: str = "\f"):
     FROM (SELECT doc_id, string_split(replace(text, chr(10), chr(12) || chr(12)), chr(12)) AS p FROM documents)""")
 def split_pages(spark, sf_dir):
     parts = T.split_pages(_broken_text("\f\f"))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(parts).alias("pos", "part")).select(
+    return _texts(spark, sf_dir).select("doc_id", F.posexplode(parts).alias("pos", "part")).select(
         "doc_id", F.col("pos").cast("long").alias("pos"), _hex("part").alias("digest"))
 
 
 @register("number_pages", f"SELECT doc_id, page, md5(text) AS digest FROM (SELECT doc_id, {SQL_LINES} FROM documents)")
 def number_pages(spark, sf_dir):
     # each second part is empty and has to be dropped
-    docs = _table(spark, sf_dir, "documents").select("doc_id", _broken_text("\f\f").alias("text"))
+    docs = _texts(spark, sf_dir).select("doc_id", _broken_text("\f\f").alias("text"))
     return P.number_pages(docs, ["doc_id"]).select(
         "doc_id", F.col("page").cast("long").alias("page"), _hex("text").alias("digest"))
 
@@ -512,7 +517,7 @@ def upsert_documents(spark, sf_dir):
 def _two_page_batches(spark, sf_dir):
     """Turns of conversations, then lines of documents, under the same document numbers."""
     first = _turn_pages(spark, sf_dir).withColumn("document_id", F.col("document_id").cast("string"))
-    docs = _table(spark, sf_dir, "documents").select(
+    docs = _texts(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("document_id"), _broken_text().alias("text"))
     second = P.number_pages(docs, ["document_id"]).withColumn("page", F.col("page").cast("long"))
     return first, second
@@ -579,7 +584,7 @@ def commit_batch(spark, sf_dir):
 
 @register("analyze_tokens", f"SELECT token, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS token FROM documents) GROUP BY token")
 def analyze_tokens(spark, sf_dir):
-    tokens = search.analyze_tokens(_table(spark, sf_dir, "documents"), [])
+    tokens = search.analyze_tokens(_texts(spark, sf_dir), [])
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 
@@ -589,18 +594,18 @@ def analyze_tokens(spark, sf_dir):
     SELECT coalesce(stem, t.token) AS token, count(*) AS n FROM t LEFT JOIN s ON t.token = s.token GROUP BY 1""")
 def analyze_tokens_stem_map(spark, sf_dir):
     stems = small_frame(spark, STEMS, ["token", "stem"])
-    tokens = search.analyze_tokens(_table(spark, sf_dir, "documents"), [], stem_map=stems)
+    tokens = search.analyze_tokens(_texts(spark, sf_dir), [], stem_map=stems)
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 
 @register("text_stats", f"SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({SQL_WORDS})) AS term FROM documents) GROUP BY term")
 def text_stats(spark, sf_dir):
-    return search.term_stats(_table(spark, sf_dir, "documents"))
+    return search.term_stats(_texts(spark, sf_dir))
 
 
 @register("length_stats", f"SELECT count(*) AS n_pages, CAST(sum(len({SQL_WORDS})) AS BIGINT) AS n_tokens, round(avg(len({SQL_WORDS})), 6) AS avg_len FROM documents")
 def length_stats(spark, sf_dir):
-    return search.length_stats(_table(spark, sf_dir, "documents")).withColumn("avg_len", F.round("avg_len", 6))
+    return search.length_stats(_texts(spark, sf_dir)).withColumn("avg_len", F.round("avg_len", 6))
 
 
 def _sql_bm25(queries: str, k: int) -> str:
@@ -629,7 +634,7 @@ SQL_TERMS = "SELECT 'q' AS query_id, unnest(['der', 'die', 'und']) AS term"
 
 @register("bm25_topk", _sql_bm25(SQL_TERMS, 10))
 def bm25_topk(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir)
     return _rounded(search.bm25_topk(docs, {"q": TERMS}, 10, "doc_id"), "score")
 
 
@@ -637,7 +642,7 @@ def bm25_topk(spark, sf_dir):
 def bm25_many_queries(spark, sf_dir):
     queries = search.analyze_tokens(_table(spark, sf_dir, "benchmark"), ["item_id"], out="term")
     queries = queries.withColumnRenamed("item_id", "query_id")
-    return _rounded(search.bm25_topk(_table(spark, sf_dir, "documents"), queries, 5, "doc_id"), "score")
+    return _rounded(search.bm25_topk(_texts(spark, sf_dir), queries, 5, "doc_id"), "score")
 
 
 @register("highlight", f"""
@@ -709,7 +714,7 @@ def _sql_buckets(width: int) -> str:
 
 @register("embed_hashed", _sql_buckets(64))
 def embed_hashed(spark, sf_dir):
-    terms = hashed_terms(_table(spark, sf_dir, "documents"), ["doc_id"], "text", 64)
+    terms = hashed_terms(_texts(spark, sf_dir), ["doc_id"], "text", 64)
     return terms.select("doc_id", F.col("bucket").cast("long").alias("bucket"), F.col("n").cast("long").alias("n"))
 
 
@@ -724,7 +729,7 @@ def counting_embedder():
     SELECT doc_id, least(length(w), 15) AS bucket, count(*) AS n
     FROM (SELECT doc_id, unnest({SQL_WORDS}) AS w FROM documents) GROUP BY 1, 2""")
 def embed_udf(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf_dir).select("doc_id", "text")
     done = embed(docs, "text", counting_embedder, distinct=True)
     return done.select("doc_id", F.posexplode("embeddings").alias("bucket", "n")).where(F.col("n") > 0).select(
         "doc_id", F.col("bucket").cast("long").alias("bucket"), F.col("n").cast("long").alias("n"))
@@ -742,7 +747,7 @@ def extracted(spark, sf_dir):
 
 
 def _page_vectors(spark, sf_dir, width):
-    docs = _table(spark, sf_dir, "documents").select("doc_id", _broken_text().alias("text"))
+    docs = _texts(spark, sf_dir).select("doc_id", _broken_text().alias("text"))
     pages = hash_embed(P.number_pages(docs, ["doc_id"]), "text", width)
     return pages.withColumn("id", F.concat_ws("/", "doc_id", "page"))
 
@@ -776,7 +781,7 @@ SQL_PATH = "'judgements/' || lang || '/' || source || '/' || doc_id || '_' || n_
 
 
 def _ingest(spark, sf_dir, **settings):
-    docs = _table(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir)
     landing = docs.select(_link().alias("url"), _broken_text("\f\f").cast("binary").alias("content"))
     return docs.select(_link().alias("link")), Ingest(
         spark, scratch_dir(spark, "ingest"), landing=landing, width=16, n_buckets=8, **settings)

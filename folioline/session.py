@@ -57,3 +57,13 @@ def small_frame(spark: SparkSession, rows: list[tuple], names: list[str]) -> Dat
     """A handful of driver-side rows as a local relation, whose size Spark knows when it plans joins."""
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     return spark.createDataFrame(pa.table({name: pa.array(column) for name, column in zip(names, columns)}))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer partitions than there are cores before work that is heavy on CPU.
+
+    A small table in one file would keep one core busy. A large table has more splits than
+    cores and is left as it is, so that nothing big is shuffled. For plain scans only.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

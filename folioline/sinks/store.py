@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -128,12 +129,19 @@ class PageStore:
         merged = merged.withColumn("b", page_bucket(F.col("document_id"), F.col("page")))
         self._write(merged, "pages", version, ["document_id", "page"])
 
-        row = (version, batch_id, buckets,
-               {**newest["documents"], **folders}, {**newest["pages"], **page_folders})
-        self.spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("error").json(
-            f"{self.root}/manifest/v={version:012d}")
+        self._publish(version, batch_id, buckets, {**newest["documents"], **folders},
+                      {**newest["pages"], **page_folders})
         return version
 
+    def _publish(self, version: int, batch_id: int, buckets: int, documents: dict, pages: dict) -> None:
+        row = {"version": version, "batch_id": batch_id, "n_buckets": buckets,
+               "documents": list(documents.items()), "pages": list(pages.items())}
+        folders = pa.map_(pa.string(), pa.int64())
+        schema = pa.schema([("version", pa.int64()), ("batch_id", pa.int64()), ("n_buckets", pa.int32()),
+                            ("documents", folders), ("pages", folders)])
+        frame = self.spark.createDataFrame(pa.Table.from_pylist([row], schema=schema))
+        frame.coalesce(1).write.mode("error").json(f"{self.root}/manifest/v={version:012d}")
+
     def _touched(self, table, schema, folders, batch, bucket, version) -> tuple[DataFrame, dict[int, int]]:
         """(stored rows of the buckets that ``batch`` touches, the new folder of each such bucket).
 
