@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from folioline.fixed import EMBEDDING_WIDTH
 from folioline.functions.vectors import has_width
+from folioline.session import settle
 
 
 @dataclass
@@ -54,10 +55,15 @@ def _repeated(df: DataFrame, keys: list[str]) -> DataFrame:
     return present.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def orphan_ids(pages: DataFrame, documents: DataFrame, col: str = "document_id", id_col: str = "id") -> DataFrame:
+    """Distinct document ids of pages that no document has. Only ids travel, each once per task."""
+    used = pages.select(col).where(F.col(col).isNotNull()).distinct()
+    return used.join(documents.select(F.col(id_col).alias(col)), col, "left_anti")
+
+
 def orphan_pages(pages: DataFrame, documents: DataFrame, col: str = "document_id", id_col: str = "id") -> DataFrame:
     """Pages whose document does not exist."""
-    ids = documents.select(F.col(id_col).alias(col))
-    return pages.where(F.col(col).isNotNull()).join(ids, col, "left_anti")
+    return pages.join(settle(orphan_ids(pages, documents, col, id_col), "orphans"), col, "left_semi")
 
 
 def count_violations(df: DataFrame, spec: Constraints) -> DataFrame:
@@ -74,8 +80,10 @@ def count_violations(df: DataFrame, spec: Constraints) -> DataFrame:
         counters.append(_repeated(df, keys).agg(
             F.lit(name).alias("rule"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")))
     for name, (col, table, id_col) in spec.references.items():
-        counters.append(orphan_pages(df.select(col), table, col, id_col).agg(
-            F.lit(name).alias("rule"), F.count("*").alias("n_rows")))
+        per_id = df.select(col).where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n_rows"))
+        lost = per_id.join(table.select(F.col(id_col).alias(col)), col, "left_anti")
+        counters.append(lost.agg(
+            F.lit(name).alias("rule"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")))
     out = counters[0]
     for more in counters[1:]:
         out = out.unionByName(more)
@@ -85,15 +93,15 @@ def count_violations(df: DataFrame, spec: Constraints) -> DataFrame:
 def check_constraints(df: DataFrame, spec: Constraints) -> tuple[DataFrame, DataFrame]:
     """(rows that break no rule, broken rows with a column ``rules``).
 
-    Only keys travel to find repeated keys and missing references; the few that are found are
-    joined back. No window gathers the rows of one key.
+    Only keys travel to find repeated keys and missing references. The keys found are stored and joined
+    back; while they are few the rows themselves are not shuffled. No window gathers the rows of one key.
     """
     flagged = df.withColumn("rules", broken_row_rules(spec.rows))
     for name, keys in spec.unique.items():
         bad = _repeated(df, keys).select(*keys, F.lit(name).alias("_bad"))
         flagged = _add_rule(flagged, bad, keys)
     for name, (col, table, id_col) in spec.references.items():
-        bad = orphan_pages(df.select(col), table, col, id_col).distinct().withColumn("_bad", F.lit(name))
+        bad = orphan_ids(df, table, col, id_col).withColumn("_bad", F.lit(name))
         flagged = _add_rule(flagged, bad, [col])
     valid = flagged.where(F.size("rules") == 0).drop("rules")
     return valid, flagged.where(F.size("rules") > 0)
@@ -102,7 +110,7 @@ def check_constraints(df: DataFrame, spec: Constraints) -> tuple[DataFrame, Data
 def _add_rule(flagged: DataFrame, bad: DataFrame, keys: list[str]) -> DataFrame:
     columns = flagged.columns
     rules = F.when(F.col("_bad").isNull(), F.col("rules")).otherwise(F.array_append("rules", F.col("_bad")))
-    return flagged.join(bad, keys, "left").withColumn("rules", rules).select(*columns)
+    return flagged.join(settle(bad, "broken"), keys, "left").withColumn("rules", rules).select(*columns)
 
 
 def check_dim(df: DataFrame, col: str, width: int = EMBEDDING_WIDTH) -> tuple[DataFrame, DataFrame]:

@@ -75,12 +75,12 @@ def document_with_pages(
     A document without pages has one row with an empty array.
     """
     nested = collect_pages(pages, "document_id", value_cols, pages_per_part=pages_per_part)
-    joined = documents.join(nested, documents["id"] == nested["document_id"], "left")
-    return joined.select(
-        *[documents[c] for c in documents.columns],
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("pages", F.array().cast(nested.schema["pages"].dataType)).alias("pages"),
-    )
+    # an inner join, of which Spark can split a skewed document, and the rest by ids only
+    full = documents.join(nested, documents["id"] == nested["document_id"])
+    bare = documents.join(pages.select(F.col("document_id").alias("id")).distinct(), "id", "left_anti")
+    return full.select(*[documents[c] for c in documents.columns], "part", "pages").unionByName(
+        bare.select(*documents.columns, F.lit(0).alias("part"),
+                    F.array().cast(nested.schema["pages"].dataType).alias("pages")))
 
 
 def pages_in_order(pages: DataFrame, document_id=None, doc_col: str = "document_id", page_col: str = "page") -> DataFrame:

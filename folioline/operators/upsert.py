@@ -13,13 +13,14 @@ class ConflictError(ValueError):
     """A strict insert met keys that exist already."""
 
 
-def _instant(now: Column | datetime) -> Column:
+def instant(now: Column | datetime) -> Column:
+    """The time of a batch: an instant, or an expression for one."""
     return now if isinstance(now, Column) else F.lit(now)
 
 
 def with_defaults(df: DataFrame, id_col: Column, now: Column | datetime) -> DataFrame:
     """Add ``id``, ``created_at`` and ``updated_at``; one instant for the whole batch."""
-    return df.withColumns({"id": id_col, "created_at": _instant(now), "updated_at": _instant(now)})
+    return df.withColumns({"id": id_col, "created_at": instant(now), "updated_at": instant(now)})
 
 
 def upsert_documents(old: DataFrame, new: DataFrame, now: Column | datetime) -> DataFrame:
@@ -28,7 +29,7 @@ def upsert_documents(old: DataFrame, new: DataFrame, now: Column | datetime) ->
     A known path keeps id and ``created_at`` and gets ``updated_at = now``. Copies of a path
     within ``new`` collapse before the shuffle, whose partitioning the join then uses.
     """
-    now = _instant(now)
+    now = instant(now)
     batch = new.select("file_path").distinct().withColumn("_new", F.lit(True))
     both = old.select("file_path", "id", "created_at", "updated_at").join(batch, "file_path", "full_outer")
     known = F.col("id").isNotNull()
@@ -50,7 +51,7 @@ def upsert_pages(old: DataFrame, new: DataFrame, now: Column | datetime, mode: s
     """
     if mode not in ("keep_first", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    now = _instant(now)
+    now = instant(now)
     keys = ["document_id", "page"]
     content = [c for c in new.columns if c not in keys + ["id", "created_at", "updated_at"]]
     batch = new.groupBy(*keys).agg(F.min(F.struct(*content)).alias("_new"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,6 +15,7 @@ from folioline.operators.embed import EmbedderFactory, embed, hash_embed
 from folioline.operators.extract import extract_text
 from folioline.operators.lookup import one_link_per_path, pending_links, with_path
 from folioline.operators.pages import number_pages
+from folioline.operators.upsert import instant
 from folioline.functions.vectors import has_width
 from folioline.sinks.blobs import landed_paths, read_batch, save_blobs
 from folioline.sinks.runlog import write_run_log
@@ -38,13 +40,12 @@ class Ingest:
     width: int = EMBEDDING_WIDTH
     fetch_slots: int = FETCH_SLOTS
     embed_slots: int | None = None
-    n_buckets: int = 256
     mode: str = "keep_first"
     path_args: dict | None = None
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
-        self.store = PageStore(self.spark, f"{self.root}/tables", self.n_buckets)
+        self.store = PageStore(self.spark, f"{self.root}/tables")
         self.blob_root = f"{self.root}/blobs"
         self.log_root = f"{self.root}/log"
         self.reject_root = f"{self.root}/rejects"
@@ -59,7 +60,7 @@ class Ingest:
         known = self.store.documents().select(F.col("file_path").alias("path"))
         return pending_links(one_link_per_path(pathed), landed, known)
 
-    def run(self, links: DataFrame, batch_id: int, now: Column) -> int:
+    def run(self, links: DataFrame, batch_id: int, now: Column | datetime) -> int:
         """Process one batch of ``(link)``; the version of the tables afterwards.
 
         Every costly step ends in a stored table of this batch, which later steps read: nothing
@@ -70,7 +71,7 @@ class Ingest:
         if self.store.committed(batch_id):
             return self.store.version()
         _, bad_links = with_path(links, **(self.path_args or {}))
-        todo = self.pending(links, batch_id)
+        todo = self._stage("todo", batch_id, self.pending(links, batch_id))
         if self.landing is not None:
             fetched = fetch_from_landing(todo, self.landing)
         elif self.fetcher is not None:
@@ -80,13 +81,10 @@ class Ingest:
         save_blobs(fetched, self.blob_root, batch_id, "overwrite")
         blobs = read_batch(self.spark, self.blob_root, batch_id)
 
-        staged_path = f"{self.root}/staged/batch={batch_id}"
-        self._stage_pages(blobs.where(F.col("status") == "ok")).write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
-
+        staged = self._stage("pages", batch_id, self._embedded_pages(blobs.where(F.col("status") == "ok")))
         # a document with any failed page is left out as a whole
-        failed = staged.where(F.col("error").isNotNull()).groupBy("path", "link").agg(
-            F.min(F.struct("stage", "error")).alias("e")).select("path", "link", "e.stage", "e.error")
+        failed = self._stage("failed", batch_id, staged.where(F.col("error").isNotNull()).groupBy("path", "link").agg(
+            F.min(F.struct("stage", "error")).alias("e")).select("path", "link", "e.stage", "e.error"))
         good = staged.join(failed.select("path"), "path", "left_anti")
 
         unfetched = blobs.where(F.col("status") != "ok").select("link", F.lit("fetch").alias("stage"), "error")
@@ -97,16 +95,21 @@ class Ingest:
             .unionByName(staged.select("link", "stage", "error", "seconds"))
             .unionByName(bad_links.withColumn("seconds", F.lit(None).cast("double")))
         )
-        write_run_log(as_log(events, now, batch_id), f"{self.log_root}/batch={batch_id}", "overwrite")
+        write_run_log(as_log(events, instant(now), batch_id), f"{self.log_root}/batch={batch_id}", "overwrite")
 
         # last, since a committed batch is not looked at again
         return self.store.commit(
             good.select(F.col("path").alias("file_path")).distinct(),
             good.where(F.col("page").isNotNull()).select(
                 F.col("path").alias("file_path"), "page", "text", "embeddings"),
-            batch_id, now, self.mode)
+            batch_id, now, self.mode, unique=True)
+
+    def _stage(self, name: str, batch_id: int, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/staged/{name}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def _stage_pages(self, blobs: DataFrame) -> DataFrame:
+    def _embedded_pages(self, blobs: DataFrame) -> DataFrame:
         """``(path, link, page, text, embeddings, stage, error, seconds)``.
 
         A file that gave no text, or no page, has one row with a NULL page.

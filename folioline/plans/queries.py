@@ -568,7 +568,7 @@ def insert_strict_conflicts(spark, sf_dir):
                FROM o FULL JOIN n ON o.d = n.d AND o.page = n.page)
     SELECT 'doc/' || d AS file_path, page, md5(text) AS digest, 16 AS width FROM p""")
 def commit_batch(spark, sf_dir):
-    store = PageStore(spark, scratch_dir(spark, "store"), n_buckets=8)
+    store = PageStore(spark, scratch_dir(spark, "store"))
     for number, pages in enumerate(_two_page_batches(spark, sf_dir)):
         pages = pages.withColumn("file_path", F.concat(F.lit("doc/"), "document_id")).drop("document_id")
         pages = hash_embed(pages, "text", 16)
@@ -784,7 +784,7 @@ def _ingest(spark, sf_dir, **settings):
     docs = _texts(spark, sf_dir)
     landing = docs.select(_link().alias("url"), _broken_text("\f\f").cast("binary").alias("content"))
     return docs.select(_link().alias("link")), Ingest(
-        spark, scratch_dir(spark, "ingest"), landing=landing, width=16, n_buckets=8, **settings)
+        spark, scratch_dir(spark, "ingest"), landing=landing, width=16, **settings)
 
 
 def _stored_pages(ingest):
@@ -813,7 +813,7 @@ def rejects(spark, sf_dir):
     link = F.concat("url", F.lit("&nr="), "page_id")
     pages = _table(spark, sf_dir, "pages").select(link.alias("url"), F.col("html").alias("content"))
     ingest = Ingest(
-        spark, scratch_dir(spark, "rejects"), landing=pages, embedder=strict_embedder, width=4, n_buckets=8,
+        spark, scratch_dir(spark, "rejects"), landing=pages, embedder=strict_embedder, width=4,
         path_args={"keys": ["page", "nr"], "fmt": "listings/%s/%s.html"})
     ingest.run(pages.select(F.col("url").alias("link")), 7, _instant(1))
     return ingest.rejects()

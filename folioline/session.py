@@ -67,3 +67,14 @@ def spread(table: DataFrame) -> DataFrame:
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Store a narrow intermediate result in the shared folder and read it back.
+
+    It is worked out once, and Spark knows its size when it plans the joins that use it: a small one
+    is broadcast, so that the wide table on the other side is not shuffled; a large one is not.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

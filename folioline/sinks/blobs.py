@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from folioline.session import empty_frame
+from folioline.session import empty_frame, settle
 
 SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -99,4 +99,4 @@ def read_saved(spark: SparkSession, root: str) -> DataFrame:
         .join(newest.where(F.col("n") > 1).select("path", F.col("batch").alias("last")), "path")
         .where(F.col("batch") < F.col("last")).select("path", "batch")
     )
-    return stored.join(outdated, ["path", "batch"], "left_anti").select("path", "content")
+    return stored.join(settle(outdated, "outdated"), ["path", "batch"], "left_anti").select("path", "content")

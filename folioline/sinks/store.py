@@ -1,10 +1,16 @@
 """Documents and their pages as two parquet tables that change together.
 
-Rows are spread over a fixed number of buckets by hash. A commit merges its batch into copies of
-the buckets it touches, written to new folders, and then publishes one small manifest row that says
-which folder holds each bucket. Readers follow the newest manifest, so they see both tables
-before or after a commit, never in between; a commit that dies leaves no trace they could see.
-Manifests carry the batch number, which makes a repeated batch a no-op. One writer at a time.
+Each commit adds folders of its own, ``<table>/v=<version>``, and then publishes its number in a
+one-row manifest. Readers look at the versions up to the newest published one, so they see all of a
+commit or nothing of it. What a commit that died left behind carries the next number, is invisible, and is
+written over by the next commit. A commit costs as much as its batch: stored texts and vectors
+are neither read nor written again. Changes to stored rows are kept as narrow tables:
+
+* ``touched``: keys whose ``updated_at`` has moved,
+* ``replaced``: keys of pages whose rows in earlier versions are void.
+
+:meth:`PageStore.compact` folds them in. Manifests carry the batch number, which makes a repeated
+batch a no-op. One writer at a time.
 """
 
 from __future__ import annotations
@@ -15,144 +21,174 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from folioline.functions.ids import document_id
-from folioline.operators.pages import part_of
-from folioline.operators.upsert import insert_strict, upsert_documents, upsert_pages
+from folioline.functions.ids import document_id, page_id
+from folioline.operators.upsert import ConflictError, instant, with_defaults
 from folioline.schema import DOCUMENT_PAGES, DOCUMENTS
 from folioline.session import empty_frame
 
-BUCKETS = 256
-PAGES_PER_CHUNK = 1024
-
 _MANIFEST = T.StructType([
     T.StructField("version", T.LongType()),
+    T.StructField("base", T.LongType()),
     T.StructField("batch_id", T.LongType()),
-    T.StructField("n_buckets", T.IntegerType()),
-    T.StructField("documents", T.MapType(T.StringType(), T.LongType())),
-    T.StructField("pages", T.MapType(T.StringType(), T.LongType())),
 ])
+_KEY = [T.StructField("document_id", T.StringType()), T.StructField("page", T.IntegerType())]
+# a touched document has no page number
+_TOUCHED = T.StructType(_KEY + [T.StructField("updated_at", T.TimestampType())])
+_REPLACED = T.StructType(_KEY)
+PAGE_KEY = ["document_id", "page"]
 
 
 class PageStore:
     """The two tables below ``root``, on any file system Spark can write."""
 
-    def __init__(self, spark: SparkSession, root: str, n_buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._n_buckets = n_buckets
 
     # reading
 
-    def _manifests(self) -> DataFrame:
+    def _newest(self, batch_id: int | None = None) -> tuple[int, int, bool]:
+        """(newest version, first version that counts, whether ``batch_id`` has been committed)."""
         try:
-            return self.spark.read.schema(_MANIFEST).option("recursiveFileLookup", True).json(
+            manifests = self.spark.read.schema(_MANIFEST).option("recursiveFileLookup", True).json(
                 f"{self.root}/manifest")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return empty_frame(self.spark, _MANIFEST)
-
-    def _newest(self, batch_id: int | None = None) -> dict:
-        """The newest manifest, and whether any manifest is that of ``batch_id``."""
-        row = self._manifests().agg(
-            F.max_by(F.struct(*_MANIFEST.names), "version").alias("m"),
-            F.coalesce(F.bool_or(F.col("batch_id") == F.lit(batch_id).cast("long")), F.lit(False)).alias("done"),
-        ).first()
-        newest = row["m"].asDict() if row["m"] else {
-            "version": 0, "n_buckets": self._n_buckets, "documents": {}, "pages": {}}
-        return {**newest, "committed": row["done"]}
-
-    def _load(self, table: str, schema: T.StructType, folders: dict[str, int]) -> DataFrame:
-        if not folders:
-            return empty_frame(self.spark, schema)
-        paths = [f"{self.root}/{table}/v={v}/b={b}" for b, v in sorted(folders.items())]
-        frame = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths)
-        return frame.select(*schema.names)
+            return 0, 0, False
+        row = manifests.agg(
+            F.max("version").alias("version"), F.max("base").alias("base"),
+            F.bool_or(F.col("batch_id") == F.lit(batch_id).cast("long")).alias("done")).first()
+        return row["version"] or 0, row["base"] or 0, bool(row["done"])
+
+    def _table(self, name: str, schema: T.StructType, newest: int, base: int) -> DataFrame:
+        """Rows of the versions that count, with their version as ``v``; other folders are not opened."""
+        if newest == 0:
+            return empty_frame(self.spark, schema).withColumn("v", F.lit(0).cast("long"))
+        with_version = T.StructType(schema.fields + [T.StructField("v", T.LongType())])
+        stored = self.spark.read.schema(with_version).parquet(f"{self.root}/{name}")
+        return stored.where(F.col("v").between(max(base, 1), newest))
+
+    def _documents(self, newest: int, base: int) -> DataFrame:
+        touched = self._table("touched", _TOUCHED, newest, base).where(F.col("page").isNull())
+        latest = touched.groupBy(F.col("document_id").alias("id")).agg(F.max("updated_at").alias("_touched"))
+        stored = self._table("documents", DOCUMENTS, newest, base).join(latest, "id", "left")
+        return _with_touch(stored, DOCUMENTS)
+
+    def _pages(self, newest: int, base: int) -> DataFrame:
+        replaced = self._table("replaced", _REPLACED, newest, base)
+        void = replaced.groupBy(*PAGE_KEY).agg(F.max("v").alias("_void"))
+        touched = self._table("touched", _TOUCHED, newest, base).where(F.col("page").isNotNull())
+        latest = touched.groupBy(*PAGE_KEY).agg(F.max("updated_at").alias("_touched"))
+        stored = self._table("pages", DOCUMENT_PAGES, newest, base)
+        # both overlays are narrow and their file sizes known, so Spark broadcasts them while they are small
+        same = [stored[c] == void[c] for c in PAGE_KEY] + [stored["v"] < void["_void"]]
+        live = stored.join(void, same, "left_anti")
+        return _with_touch(live.join(latest, PAGE_KEY, "left"), DOCUMENT_PAGES)
 
     def version(self) -> int:
-        return self._newest()["version"]
+        return self._newest()[0]
+
+    def committed(self, batch_id: int) -> bool:
+        return self._newest(batch_id)[2]
 
     def documents(self) -> DataFrame:
-        return self._load("documents", DOCUMENTS, self._newest()["documents"])
+        return self._documents(*self._newest()[:2])
 
     def pages(self) -> DataFrame:
-        return self._load("pages", DOCUMENT_PAGES, self._newest()["pages"])
+        return self._pages(*self._newest()[:2])
 
     def snapshot(self) -> tuple[DataFrame, DataFrame]:
         """(documents, pages) of one and the same version."""
-        newest = self._newest()
-        return (self._load("documents", DOCUMENTS, newest["documents"]),
-                self._load("pages", DOCUMENT_PAGES, newest["pages"]))
-
-    def committed(self, batch_id: int) -> bool:
-        return self._newest(batch_id)["committed"]
+        newest, base, _ = self._newest()
+        return self._documents(newest, base), self._pages(newest, base)
 
     # writing
 
     def commit(
         self, documents: DataFrame, pages: DataFrame, batch_id: int, now: Column | datetime,
-        mode: str = "keep_first",
+        mode: str = "keep_first", unique: bool = False,
     ) -> int:
         """Merge ``documents (file_path)`` and ``pages (file_path, page, text, embeddings)``; the new version.
 
-        ``mode`` is that of the page upsert, or ``strict``: a path that exists already fails the commit.
+        The result is that of ``upsert_documents`` and ``upsert_pages`` in the same ``mode``; with ``strict``
+        a path that exists fails the commit. Of the stored tables only keys are read, and page keys
+        only of documents that exist already. Copies of a page within the batch are reduced to the
+        least one, unless the caller vouches by ``unique`` that there are none, which saves the shuffle.
         Both frames are read more than once, so they should be stored tables rather than long plans.
         """
-        newest = self._newest(batch_id)
-        if newest["committed"]:
-            return newest["version"]
-        version, buckets = newest["version"] + 1, newest["n_buckets"]
-
-        def document_bucket(key: Column) -> Column:
-            return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-        def page_bucket(document: Column, page: Column) -> Column:
-            # a document of very many pages spreads over the buckets, chunk by chunk
-            return F.pmod(F.xxhash64(document, part_of(page, PAGES_PER_CHUNK)), F.lit(buckets)).cast("int")
+        if mode not in ("keep_first", "replace", "strict"):
+            raise ValueError(f"unknown mode {mode!r}")
+        newest, base, done = self._newest(batch_id)
+        if done:
+            return newest
+        version, now = newest + 1, instant(now)
+
+        batch = documents.select("file_path").where(F.col("file_path").isNotNull()).distinct()
+        stored = self._documents(newest, base).select("file_path", "id")
+        known = self._note("known", version, batch.join(stored, "file_path"))
+        if mode == "strict":
+            clash = known.take(1)
+            if clash:
+                raise ConflictError(f"already present: {clash[0]['file_path']}")
+        added = with_defaults(
+            batch.join(known.select("file_path"), "file_path", "left_anti"), document_id(F.col("file_path")), now)
 
-        docs = documents.select("file_path").where(F.col("file_path").isNotNull())
         rows = pages.select(
             document_id(F.col("file_path")).alias("document_id"), F.col("page").cast("int").alias("page"),
             "text", F.col("embeddings").cast("array<float>").alias("embeddings"))
+        if not unique:
+            content = F.min(F.struct("text", "embeddings")).alias("c")
+            rows = rows.groupBy(*PAGE_KEY).agg(content).select(*PAGE_KEY, "c.text", "c.embeddings")
+        old_keys = self._pages(newest, base).select(*PAGE_KEY, F.col("id").alias("_id"), F.col("created_at").alias("_at")).join(
+            known.select(F.col("id").alias("document_id")), "document_id", "left_semi")
+        met = self._note("met", version, old_keys.join(rows.select(*PAGE_KEY).distinct(), PAGE_KEY, "left_semi"))
+
+        fresh_id = page_id(F.col("document_id"), F.col("page"))
+        if mode == "replace":
+            written = with_defaults(rows, fresh_id, now).join(met, PAGE_KEY, "left").withColumns(
+                {"id": F.coalesce("_id", "id"), "created_at": F.coalesce("_at", "created_at")})
+            void, moved = met.select(*PAGE_KEY), met.limit(0)
+        else:
+            written = with_defaults(rows.join(met, PAGE_KEY, "left_anti"), fresh_id, now)
+            void, moved = met.select(*PAGE_KEY).limit(0), met
+        touched = known.select(F.col("id").alias("document_id"), F.lit(None).cast("int").alias("page")).unionByName(
+            moved.select(*PAGE_KEY)).withColumn("updated_at", now)
+        self._write("documents", version, added.select(*DOCUMENTS.names), ["file_path"])
+        self._write("pages", version, written.select(*DOCUMENT_PAGES.names), PAGE_KEY)
+        self._write("touched", version, touched, PAGE_KEY)
+        self._write("replaced", version, void, PAGE_KEY)
+        self._publish(version, base, batch_id)
+        return version
 
-        doc_key = document_bucket(document_id(F.col("file_path")))
-        old_docs, folders = self._touched("documents", DOCUMENTS, newest["documents"], docs, doc_key, version)
-        if mode == "strict":
-            insert_strict(old_docs, docs, ["file_path"])
-        merged = upsert_documents(old_docs, docs, now).withColumn("b", document_bucket(F.col("id")))
-        self._write(merged, "documents", version, ["file_path"])
-
-        page_key = page_bucket(F.col("document_id"), F.col("page"))
-        old_pages, page_folders = self._touched(
-            "pages", DOCUMENT_PAGES, newest["pages"], rows, page_key, version)
-        merged = upsert_pages(old_pages, rows, now, "keep_first" if mode == "strict" else mode)
-        merged = merged.withColumn("b", page_bucket(F.col("document_id"), F.col("page")))
-        self._write(merged, "pages", version, ["document_id", "page"])
-
-        self._publish(version, batch_id, buckets, {**newest["documents"], **folders},
-                      {**newest["pages"], **page_folders})
+    def compact(self) -> int:
+        """Write both tables anew, as one version with nothing touched or replaced; the new version."""
+        newest, base, _ = self._newest()
+        version = newest + 1
+        self._write("documents", version, self._documents(newest, base).hint("rebalance"), ["file_path"])
+        self._write("pages", version, self._pages(newest, base).hint("rebalance"), PAGE_KEY)
+        self._write("touched", version, empty_frame(self.spark, _TOUCHED), PAGE_KEY)
+        self._write("replaced", version, empty_frame(self.spark, _REPLACED), PAGE_KEY)
+        self._publish(version, version, None)
         return version
 
-    def _publish(self, version: int, batch_id: int, buckets: int, documents: dict, pages: dict) -> None:
-        row = {"version": version, "batch_id": batch_id, "n_buckets": buckets,
-               "documents": list(documents.items()), "pages": list(pages.items())}
-        folders = pa.map_(pa.string(), pa.int64())
-        schema = pa.schema([("version", pa.int64()), ("batch_id", pa.int64()), ("n_buckets", pa.int32()),
-                            ("documents", folders), ("pages", folders)])
-        frame = self.spark.createDataFrame(pa.Table.from_pylist([row], schema=schema))
-        frame.coalesce(1).write.mode("error").json(f"{self.root}/manifest/v={version:012d}")
+    def _note(self, name: str, version: int, df: DataFrame) -> DataFrame:
+        """Store a narrow intermediate result: it is worked out once, and Spark knows its size when it
+        plans the joins that use it."""
+        path = f"{self.root}/notes/{name}/v={version}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def _touched(self, table, schema, folders, batch, bucket, version) -> tuple[DataFrame, dict[int, int]]:
-        """(stored rows of the buckets that ``batch`` touches, the new folder of each such bucket).
+    def _write(self, name: str, version: int, df: DataFrame, order: list[str]) -> None:
+        # the order within files lets lookups by path or document skip row groups
+        df.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{self.root}/{name}/v={version}")
 
-        At most one number per bucket comes to the driver.
-        """
-        touched = [str(r["b"]) for r in batch.select(bucket.alias("b")).distinct().collect()]
-        stored = {b: folders[b] for b in touched if b in folders}
-        return self._load(table, schema, stored), {b: version for b in touched}
-
-    def _write(self, df: DataFrame, table: str, version: int, order: list[str]) -> None:
-        # rebalance: a bucket goes to one task, or several if it is large; the order within files
-        # lets lookups by path or document skip row groups
-        (df.hint("rebalance", "b").sortWithinPartitions("b", *order)
-         .write.mode("overwrite").partitionBy("b").parquet(f"{self.root}/{table}/v={version}"))
+    def _publish(self, version: int, base: int, batch_id: int | None) -> None:
+        row = pa.table({"version": pa.array([version], pa.int64()), "base": pa.array([base], pa.int64()),
+                        "batch_id": pa.array([batch_id], pa.int64())})
+        self.spark.createDataFrame(row).coalesce(1).write.mode("error").json(f"{self.root}/manifest/v={version:012d}")
+
+
+def _with_touch(stored: DataFrame, schema: T.StructType) -> DataFrame:
+    moved = F.greatest("updated_at", "_touched").alias("updated_at")
+    return stored.select(*[moved if c == "updated_at" else c for c in schema.names])

@@ -61,15 +61,16 @@ def fetch_from_landing(
     links: DataFrame, landing: DataFrame, link_col: str = "link", landing_col: str = "url",
     content_col: str = "content",
 ) -> DataFrame:
-    """The same from a table of fetched files, by join. ``landing`` has one row per address."""
-    found = landing.select(
-        F.col(landing_col).alias(link_col), F.col(content_col).cast("binary").alias("content"),
-        F.lit(True).alias("_found"))
-    joined = links.join(found, link_col, "left")
-    return joined.select(
-        *links.columns,
-        "content",
-        F.when(F.col("_found").isNull(), F.lit("not found in landing table"))
-        .when(F.col("content").isNull(), F.lit("no content")).alias("error"),
-        F.lit(0.0).alias("seconds"),
-    )
+    """The same from a table of fetched files, by join. ``landing`` has one row per address.
+
+    Found and missing links are told apart by two joins instead of an outer one: the missing ones need
+    addresses only, and in the inner join a small set of links can be broadcast, so that no
+    content is shuffled. ``links`` is read twice and should be a stored table.
+    """
+    table = landing.select(F.col(landing_col).alias(link_col), F.col(content_col).cast("binary").alias("content"))
+    found = links.join(table, link_col).withColumn(
+        "error", F.when(F.col("content").isNull(), F.lit("no content")))
+    missing = links.join(table.select(link_col), link_col, "left_anti").withColumns(
+        {"content": F.lit(None).cast("binary"), "error": F.lit("not found in landing table")})
+    columns = [*links.columns, "content", "error"]
+    return found.select(*columns).unionByName(missing.select(*columns)).withColumn("seconds", F.lit(0.0))

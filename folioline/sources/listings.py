@@ -9,7 +9,7 @@ def read_listings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     """A table of pages, or with ``fmt="html"`` a folder of saved pages, one file each."""
     if fmt != "html":
         return spark.read.format(fmt).load(path)
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from folioline.plans.ingest import Ingest
@@ -15,7 +17,7 @@ def stream_links(
 
 
 def ingest_stream(
-    links: DataFrame, ingest: Ingest, checkpoint: str, now: Column, wait: bool = True
+    links: DataFrame, ingest: Ingest, checkpoint: str, now: Column | datetime, wait: bool = True
 ):
     """Run each micro-batch of ``links`` through ``ingest`` until all that has arrived is done.
 
