@@ -28,7 +28,9 @@ class Ingest:
     """Where a run reads and writes, and the three steps a user can replace.
 
     Batches of one ``root`` are numbered in one sequence. Give a ``fetcher`` or a ``landing`` table ``(url, content)``. Without ``extractor`` files are
-    UTF-8 text, without ``embedder`` pages get hashed bags of words of ``width``.
+    UTF-8 text, without ``embedder`` pages get hashed bags of words of ``width``. ``fetch_slots`` and
+    ``embed_slots`` are the numbers of tasks for fetching and embedding; the latter also spreads the pages
+    of a document that is much longer than the others.
     """
 
     spark: SparkSession
@@ -119,7 +121,8 @@ class Ingest:
             texts.withColumnsRenamed({"error": "text_error", "seconds": "text_seconds"}),
             ["path", "link", "text_error", "text_seconds"], outer=True)
         if self.embedder is None:
-            embedded = hash_embed(pages, "text", self.width).withColumns(
+            spread = pages.repartition(self.embed_slots) if self.embed_slots else pages
+            embedded = hash_embed(spread, "text", self.width).withColumns(
                 {"error": F.lit(None).cast("string"), "seconds": F.lit(0.0)})
         else:
             embedded = embed(pages, "text", self.embedder, slots=self.embed_slots)

@@ -51,7 +51,8 @@ def save_blobs(df: DataFrame, root: str, batch: int, on_exists: str = "overwrite
             df = df.withColumn(name, F.lit(None).cast("string"))
     if "seconds" not in df.columns:
         df = df.withColumn("seconds", F.lit(None).cast("double"))
-    folders = F.split("path", "/")
+    parts = F.split("path", "/")
+    folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
     placed = df.select(
         "path", "link", "content", "error", "seconds",
         F.when(F.col("content").isNull(), F.lit("failed")).otherwise(F.lit("ok")).alias("status"),

@@ -9,11 +9,10 @@ from folioline.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session("tests", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch"))})
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

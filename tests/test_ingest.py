@@ -1,5 +1,5 @@
 from datetime import datetime
-from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -122,6 +122,15 @@ def test_stream_equals_batch(spark):
     assert streamed.store.version() == 4 and stored(streamed) == GOOD
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert scratch_dir(spark, "x").startswith(base) and Path(base).exists()
+def test_scratch_folders(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first != second
+    assert base is None or first.startswith(base)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: None),
+                              sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        scratch_dir(cluster, "x")
