@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioline.functions.text import tokens
+from folioline.session import ship_package
 
 # Builds, once per Python worker, a function from a list of texts to one vector each.
 EmbedderFactory = Callable[[], Callable[[list[str]], "list | np.ndarray"]]
@@ -49,6 +50,8 @@ def bucket_counts(text: Column, width: int) -> Column:
     shuffle, whatever the length of the text.
     """
 
+    ship_package()
+
     @F.arrow_udf("array<int>")
     def count(words: pa.Array) -> pa.Array:
         return _as_lists(_count_cells(words, width).astype(np.int32))
@@ -60,6 +63,8 @@ def bucket_counts(text: Column, width: int) -> Column:
 def hashed_vector(text: Column, width: int) -> Column:
     """The counts scaled to length 1, as floats; all zero where the text has no token."""
 
+    ship_package()
+
     @F.arrow_udf("array<float>")
     def scale(words: pa.Array) -> pa.Array:
         counts = _count_cells(words, width).astype(np.float64)
@@ -88,6 +93,8 @@ def embedder_udf(factory: EmbedderFactory):
     evaluate it twice or move filters below it.
     """
 
+    ship_package()
+
     @F.pandas_udf("embeddings array<float>, error string, seconds double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         embedder = factory()

@@ -9,6 +9,8 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from folioline.session import ship_package
+
 
 def command_extractor(command: list[str]) -> Callable[[bytes], str]:
     """Extractor that pipes a file through an external program, such as
@@ -56,6 +58,7 @@ def extract_text(
                 pd.Series(errors, dtype=object, index=out.index), seconds
             yield out
 
+    ship_package(blobs.sparkSession)
     schema = T.StructType(
         [blobs.schema[c] for c in keep]
         + [T.StructField("text", T.StringType()), T.StructField("error", T.StringType()),

@@ -91,15 +91,9 @@ def union_links(frames: list[DataFrame], col: str = "link") -> DataFrame:
 
 
 def crawl_counts(links: DataFrame, group_col: str, link_col: str = "link") -> DataFrame:
-    """Number of listings, of links and of unique links.
-
-    Two levels of partial aggregation instead of one expanded count-distinct.
-    """
-    per_link = links.groupBy(link_col).agg(F.count("*").alias("n"))
-    totals = per_link.agg(F.sum("n").alias("n_links"), F.count(link_col).alias("n_unique"))
-    groups = links.select(group_col).distinct().agg(F.count(group_col).alias("n_listings"))
-    return totals.select(
-        groups.scalar().alias("n_listings"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        "n_unique",
+    """Number of listings, of links and of unique links, in one pass; values collapse before the shuffle."""
+    return links.agg(
+        F.count_distinct(group_col).alias("n_listings"),
+        F.count("*").alias("n_links"),
+        F.count_distinct(link_col).alias("n_unique"),
     )

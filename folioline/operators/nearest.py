@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from folioline.operators.ranking import SLICE_ROWS, Best, blocks, column_values, top_k
+from folioline.session import ship_package
 
 # Up to this many query vectors are broadcast (4,096 x 1,536 doubles are 50 MB); more are shuffled.
 BROADCAST_QUERIES = 4096
@@ -63,6 +64,7 @@ def knn_cosine(
     of them; beyond, blocks of pages meet blocks of queries by shuffle. Both are exact. A vector
     that is NULL or all zero has no direction and is nobody's neighbour.
     """
+    ship_package(pages.sparkSession)
     pages = pages.where(F.col(vec_col).isNotNull()).select(id_col, vec_col)
     queries = queries.where(F.col(query_vec_col).isNotNull()).select(query_id_col, query_vec_col)
     # one more is kept where the query itself may be among the best

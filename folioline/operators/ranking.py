@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from folioline.session import ship_package
+
 # Ranking compares scores at this many decimals, so that equal pages tie whatever the summing order.
 SCORE_DECIMALS = 9
 # Rows scored at a time, queries per block, and pages per block when both sides are shuffled.
@@ -143,6 +145,7 @@ def _schema(words: DataFrame, queries: DataFrame, id_col: str) -> str:
 
 def bm25_by_broadcast(words: DataFrame, queries: DataFrame, k: int, id_col: str, k1: float, b: float) -> DataFrame:
     """Best ``k`` pages per query and task; the caller has checked the size of ``queries``."""
+    ship_package(words.sparkSession)
     weighted, avg_len = _weighted_queries(words, queries)
     table = weighted.toArrow().combine_chunks()
     columns = [table.column(i).combine_chunks() for i in range(3)]
@@ -173,6 +176,7 @@ def bm25_by_blocks(
     query_rows: int = QUERY_BLOCK, page_rows: int = PAGE_BLOCK,
 ) -> DataFrame:
     """The same with pages and queries hashed into blocks of bounded size, one pair of blocks per task."""
+    ship_package(words.sparkSession)
     weighted, avg_len = _weighted_queries(words, queries)
     n_query_blocks = max(1, math.ceil(queries.select("query_id").distinct().count() / query_rows))
     n_page_blocks = max(1, math.ceil(words.count() / page_rows))

@@ -77,10 +77,10 @@ class Ingest:
         if self.landing is not None:
             fetched = fetch_from_landing(todo, self.landing)
         elif self.fetcher is not None:
-            fetched = fetch(todo, self.fetcher, self.fetch_slots)
+            fetched = fetch(todo, self.fetcher, self.fetch_slots, cluster_by="path")
         else:
             raise ValueError("give a fetcher or a landing table")
-        save_blobs(fetched, self.blob_root, batch_id, "overwrite")
+        save_blobs(fetched, self.blob_root, batch_id, "overwrite", rebalance=self.landing is not None)
         blobs = read_batch(self.spark, self.blob_root, batch_id)
 
         staged = self._stage("pages", batch_id, self._embedded_pages(blobs.where(F.col("status") == "ok")))

@@ -18,7 +18,7 @@ from folioline.operators.extract import extract_text
 from folioline.operators.nearest import knn_cosine
 from folioline.plans.crawl import crawl
 from folioline.plans.ingest import Ingest
-from folioline.session import scratch_dir, small_frame, spread
+from folioline.session import scratch_dir, settle, small_frame, spread
 from folioline.sinks.blobs import read_saved, save_blobs
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
@@ -142,7 +142,7 @@ def stage_summary(spark, sf_dir):
 def fetched(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
     links = L.union_links([pages.select(F.col("url").alias("link")), _absolute(pages)])
-    return fetch_from_landing(links, pages, content_col="html").select(
+    return fetch_from_landing(settle(links, "links"), pages, content_col="html").select(
         "link", F.octet_length("content").cast("long").alias("n_bytes"), "error")
 
 
@@ -329,7 +329,7 @@ def number_page_rows(spark, sf_dir):
 
 
 def _turn_pages(spark, sf_dir):
-    return _table(spark, sf_dir, "conversations").select(
+    return _texts(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("document_id"), (F.col("turn") + 1).alias("page"), "text")
 
 
@@ -805,10 +805,10 @@ def streamed(spark, sf_dir):
 
 @register("rejects", f"""
     WITH l AS (SELECT *, url || '&nr=' || page_id AS link FROM pages)
-    SELECT link, 'path' AS stage, 'URL does not contain all required query parameters' AS error, 7 AS batch_id
+    SELECT link, 'path' AS stage, 'URL does not contain all required query parameters' AS error, 7::BIGINT AS batch_id
     FROM l WHERE {SQL_PARAM.format('page')} = ''
     UNION ALL
-    SELECT link, 'embed', 'too long', 7 FROM l WHERE {SQL_PARAM.format('page')} <> '' AND length(html) > 1500""")
+    SELECT link, 'embed', 'too long', 7::BIGINT FROM l WHERE {SQL_PARAM.format('page')} <> '' AND length(html) > 1500""")
 def rejects(spark, sf_dir):
     link = F.concat("url", F.lit("&nr="), "page_id")
     pages = _table(spark, sf_dir, "pages").select(link.alias("url"), F.col("html").alias("content"))
@@ -830,7 +830,7 @@ def strict_embedder():
 
 @register("rerun_is_noop", """
     SELECT count(*) AS n_documents, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_pages,
-           0 AS n_pending, 1 AS version FROM documents""")
+           0::BIGINT AS n_pending, 1::BIGINT AS version FROM documents""")
 def rerun_is_noop(spark, sf_dir):
     links, ingest = _ingest(spark, sf_dir)
     ingest.run(links, 0, _instant(1))

@@ -4,11 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    Wherever the driver found it, executors get it as a file of the application.
+    """
+    context = (spark or SparkSession.active()).sparkContext
+    package = Path(__file__).parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="folioline-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def build_session(app: str = "folioline", master: str | None = None, conf: dict | None = None) -> SparkSession:
     """Session with the settings the operators count on. ``conf`` overrides any of them.
 
@@ -59,14 +81,18 @@ def small_frame(spark: SparkSession, rows: list[tuple], names: list[str]) -> Dat
     return spark.createDataFrame(pa.table({name: pa.array(column) for name, column in zip(names, columns)}))
 
 
+# A scan of fewer splits than this is small: at most 1 GB at the default split size.
+FEW_SPLITS = 8
+
+
 def spread(table: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than there are cores before work that is heavy on CPU.
+    """Spread a small scan over the cores before work that is heavy on CPU.
 
-    A small table in one file would keep one core busy. A large table has more splits than
-    cores and is left as it is, so that nothing big is shuffled. For plain scans only.
+    A table in one small file would keep one core busy. A scan of ``FEW_SPLITS`` or more is left as it
+    is, so that nothing big is shuffled for this. For plain scans only.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if table.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else table
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:

@@ -29,11 +29,13 @@ class BlobExistsError(ValueError):
     """A file exists and the policy is to fail."""
 
 
-def save_blobs(df: DataFrame, root: str, batch: int, on_exists: str = "overwrite") -> None:
+def save_blobs(
+    df: DataFrame, root: str, batch: int, on_exists: str = "overwrite", rebalance: bool = True
+) -> None:
     """Write ``(path, content)``, one row per path, optionally with ``link, error, seconds``.
 
     ``overwrite``: readers see the new content. ``skip``: stored paths are left out.
-    ``fail``: a stored path fails the job.
+    ``fail``: a stored path fails the job. ``rebalance`` may be off for rows that are clustered by path.
     """
     spark = df.sparkSession
     if on_exists not in ("overwrite", "skip", "fail"):
@@ -59,9 +61,10 @@ def save_blobs(df: DataFrame, root: str, batch: int, on_exists: str = "overwrite
         F.coalesce(F.get(folders, F.lit(1)), F.lit("")).alias("court"),
         F.coalesce(F.get(folders, F.lit(2)), F.lit("")).alias("date"),
     )
-    # rebalance: small partitions share a task, a court and year with very many files gets several
-    (placed.hint("rebalance", "status", "court", "date")
-     .write.mode("overwrite").partitionBy("status", "court", "date").parquet(f"{root}/batch={batch}"))
+    if rebalance:
+        # small partitions share a task, a court and year with very many files gets several
+        placed = placed.hint("rebalance", "status", "court", "date")
+    placed.write.mode("overwrite").partitionBy("status", "court", "date").parquet(f"{root}/batch={batch}")
 
 
 def _stored(spark: SparkSession, root: str) -> DataFrame:

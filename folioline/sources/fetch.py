@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from folioline.fixed import FETCH_SLOTS
+from folioline.session import ship_package
 
 
 def url_fetcher(timeout: float = 60.0) -> Callable[[str], bytes]:
@@ -26,11 +27,14 @@ def url_fetcher(timeout: float = 60.0) -> Callable[[str], bytes]:
 
 
 def fetch(
-    links: DataFrame, fetcher: Callable[[str], bytes], slots: int = FETCH_SLOTS, link_col: str = "link"
+    links: DataFrame, fetcher: Callable[[str], bytes], slots: int = FETCH_SLOTS, link_col: str = "link",
+    cluster_by: str | None = None,
 ) -> DataFrame:
     """Add ``content``, ``error`` and ``seconds``; a link that fails is a row with an error.
 
-    ``slots`` is the number of tasks, hence of requests at a time: the politeness cap.
+    ``slots`` is the number of tasks, hence of requests at a time: the politeness cap. With ``cluster_by`` a
+    task gets a range of that column, so that what it fetches can be written where it belongs
+    without a shuffle of the contents.
     """
 
     def run(batches):
@@ -51,10 +55,12 @@ def fetch(
             out["seconds"] = seconds
             yield out
 
+    ship_package(links.sparkSession)
     schema = T.StructType(links.schema.fields + [
         T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType()),
         T.StructField("seconds", T.DoubleType())])
-    return links.repartition(slots).mapInPandas(run, schema)
+    shared = links.repartitionByRange(slots, cluster_by) if cluster_by else links.repartition(slots)
+    return shared.mapInPandas(run, schema)
 
 
 def fetch_from_landing(
