@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from folioline.fixed import NO_EMBEDDINGS
 from folioline.functions.text import tokens
 from folioline.session import ship_package
 
@@ -112,7 +113,7 @@ def _embed_batch(embedder, texts: pd.Series) -> pd.DataFrame:
     try:
         answer = list(embedder([texts.iloc[i] for i in present])) if present else []
         if len(answer) != len(present):
-            raise ValueError("no embeddings returned")
+            raise ValueError(NO_EMBEDDINGS)
         for i, vector in zip(present, answer):
             vectors[i] = np.asarray(vector, dtype=np.float32)
     except Exception:
@@ -120,7 +121,7 @@ def _embed_batch(embedder, texts: pd.Series) -> pd.DataFrame:
             try:
                 answer = list(embedder([texts.iloc[i]]))
                 if len(answer) != 1:
-                    raise ValueError("no embeddings returned")
+                    raise ValueError(NO_EMBEDDINGS)
                 vectors[i], errors[i] = np.asarray(answer[0], dtype=np.float32), None
             except Exception as error:
                 vectors[i], errors[i] = None, str(error) or type(error).__name__

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from folioline.fixed import INVALID_URL
 from folioline.functions.urls import is_malformed, path_from_url
 
 
@@ -11,7 +12,7 @@ def with_path(links: DataFrame, link_col: str = "link", **path_args) -> tuple[Da
     """(links with a ``path``, rejects). A link lacking a needed parameter has none."""
     pathed = links.withColumn("path", path_from_url(F.col(link_col), **path_args))
     error = F.when(is_malformed(F.col(link_col)), F.lit("malformed URL")).otherwise(
-        F.lit("URL does not contain all required query parameters"))
+        F.lit(INVALID_URL))
     bad = pathed.where(F.col("path").isNull()).select(
         F.col(link_col).alias("link"), F.lit("path").alias("stage"), error.alias("error"))
     return pathed.where(F.col("path").isNotNull()), bad

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from folioline.fixed import LINK_BASE, LINK_TYPE, SITE_HOST, WANTED_CHAMBERS, YEAR_KEY
+from folioline.fixed import LINK_BASE, LINK_TYPE, NO_HREF, SITE_HOST, WANTED_CHAMBERS, YEAR_KEY
 from folioline.functions import html as H
 from folioline.functions.text import to_int
 from folioline.functions.urls import listing_url, query_param
@@ -50,5 +50,5 @@ def crawl(
         links=distinct_links(absolute_links(linked, base=base)),
         rejects=bare.select(
             F.col("url").alias("link"), F.lit("crawl").alias("stage"),
-            F.lit("no href found for link").alias("error")),
+            F.lit(NO_HREF).alias("error")),
     )

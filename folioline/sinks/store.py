@@ -186,7 +186,9 @@ class PageStore:
     def _publish(self, version: int, base: int, batch_id: int | None) -> None:
         row = pa.table({"version": pa.array([version], pa.int64()), "base": pa.array([base], pa.int64()),
                         "batch_id": pa.array([batch_id], pa.int64())})
-        self.spark.createDataFrame(row).coalesce(1).write.mode("error").json(f"{self.root}/manifest/v={version:012d}")
+        # no row of this version is published, but a writer that died may have left the folder
+        self.spark.createDataFrame(row).coalesce(1).write.mode("overwrite").json(
+            f"{self.root}/manifest/v={version:012d}")
 
 
 def _with_touch(stored: DataFrame, schema: T.StructType) -> DataFrame:
