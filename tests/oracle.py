@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 
@@ -14,6 +15,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
+        if not Path(f"{sf_dir}/{name}.parquet").exists():
+            continue
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con
 
