@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioline.llm import quality as quality_rules
+from folioline.llm import decontaminate as decontamination, pieces, quality as quality_rules
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -23,7 +23,48 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Where the public vocabularies are; a parameter of the operator.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode_and_check(docs, pieces.load_vocabulary(PIECES))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "round_trip")
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules.quality(docs)
+
+
+_DOC_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, {_DOC_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_DOC_WORDS} AS w FROM benchmark),
+iw AS (SELECT item_id, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS p, w FROM i WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS s FROM iw),
+widths AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS p, w FROM d, widths WHERE len(w) >= k),
+occ AS (SELECT DISTINCT dw.doc_id, dw.p, dw.k, win.item_id FROM dw JOIN win
+        ON dw.k = win.k AND array_to_string(dw.w[dw.p:dw.p + dw.k - 1], ' ') = win.s),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM
+        (SELECT doc_id, unnest(range(p, p + k)) AS q FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS h
+        FROM occ GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+@query("op9_decontamination", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.decontaminate(docs, _read(spark, sf_dir, "benchmark")).drop("text_key")
