@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioline.llm import decontaminate as decontamination, pieces, quality as quality_rules
+from folioline.llm import (
+    decontaminate as decontamination, pieces, quality as quality_rules, toxicity as toxic_scores)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -68,3 +69,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.decontaminate(docs, _read(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_scores.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))

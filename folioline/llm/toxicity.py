@@ -1,9 +1,8 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posteriors.
 
 Voters are words and word beginnings, met once or met often: a short list known beforehand, and those that labelled training rows show to go
-with the label. The label model is a mixture of two classes in which each voter has its own rate in either (its
-accuracy), fitted by expectation maximisation over the counted vote patterns of all training rows; votes of correlated
-voters are discounted by their correlations within the toxic class. The classifier is a logistic
+with the label. The label model has an accuracy for each voter, fitted by expectation maximisation over the counted vote patterns
+of all training rows; correlated voters are discounted by their correlations within the toxic class. The classifier is a logistic
 regression on the posteriors.
 """
 
@@ -24,11 +23,13 @@ MAX_LABELLED = 6_000
 #: At most so many rows, chosen likewise, train the classifier.
 MAX_TRAINING = 20_000
 #: So many found voters at most, each in at least so many toxic rows and of at least such precision.
-MAX_FOUND, MIN_SUPPORT, MIN_PRECISION = 64, 6, 0.8
+MAX_FOUND, MIN_SUPPORT, MIN_PRECISION = 64, 10, 0.8
 PREFIXES = (4, 5, 6, 7)
 #: A voter with a sign behind speaks if its word is met twice or more, and once in so many words or more.
 OFTEN = 200
 EM_STEPS = 8
+#: A voter's accuracy before any data counts as so many votes; that of the known insults; the rate where nobody votes.
+PSEUDO_VOTES, EXPECTED, SILENT = 10, 0.95, 0.02
 FOLDS = 5
 
 
@@ -58,8 +59,8 @@ def _among(words: Column, wanted: list[str]) -> Column:
     return F.filter(words, lambda w: w.isin(wanted))
 
 
-def find_voters(docs: DataFrame, labels: DataFrame) -> list[str]:
-    """Words and word beginnings that go with the label in training rows, best first.
+def find_voters(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
+    """Words and word beginnings that go with the label in training rows, with their precision, best first.
 
     ``docs (doc_id, text)``, ``labels (doc_id, toxic)``; null labels and rows of the held-out fold are left out.
     """
@@ -73,13 +74,13 @@ def find_voters(docs: DataFrame, labels: DataFrame) -> list[str]:
         "voter").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("pos"), F.count("*").alias("n"))
     good = seen.where((F.col("pos") >= MIN_SUPPORT) & (F.col("pos") >= MIN_PRECISION * F.col("n")))
     lift = F.col("pos") * F.log((F.col("pos") + 0.5) / (F.col("n") - F.col("pos") + 0.5))
-    best: list[str] = []
-    for row in good.orderBy(lift.desc(), "voter").limit(16 * MAX_FOUND).select("voter").collect():
+    best: dict[str, float] = {}
+    for row in good.orderBy(lift.desc(), "voter").limit(16 * MAX_FOUND).select("voter", "pos", "n").collect():
         root = row["voter"].strip("^+")
         # of a beginning, what it begins, and their often-met forms only the best votes: they would echo each other
         if not any(b.strip("^+").startswith(root) or root.startswith(b.strip("^+")) for b in best):
-            best.append(row["voter"])
-    return best[:MAX_FOUND]
+            best[row["voter"]] = (row["pos"] + 0.5) / (row["n"] + 1)
+    return dict(list(best.items())[:MAX_FOUND])
 
 
 def votes(docs: DataFrame, voters: list[str], text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -102,59 +103,51 @@ def votes(docs: DataFrame, voters: list[str], text: str = "text", keep: list[str
 
 
 class LabelModel:
-    """Rates of the voters in both classes; :meth:`posterior` of a set of votes as a column."""
-
-    def __init__(self, voters: list[str]):
-        self.voters = voters
-        self.prior = 0.1
-        self.toxic = {v: 0.3 for v in voters}
-        self.clean = {v: 0.003 for v in voters}
-        self.discount = {v: 1.0 for v in voters}
-
-    def weights(self) -> tuple[dict[str, float], float]:
-        gain, base = {}, math.log(self.prior / (1 - self.prior))
-        for v in self.voters:
-            absent = self.discount[v] * math.log((1 - self.toxic[v]) / (1 - self.clean[v]))
-            gain[v] = self.discount[v] * math.log(self.toxic[v] / self.clean[v]) - absent
-            base += absent
-        return gain, base
-
-    def posterior(self, votes_met: Column) -> Column:
-        gain, base = self.weights()
-        return _logistic(F.lit(base) + _summed(votes_met, gain))
+    """Accuracies and correlations of voters that speak for the toxic class or abstain.
+
+    Where voters speak, the odds are the product of theirs, each to the power of its discount; where all
+    abstain, the class has its rate among such rows.
+    """
+
+    def __init__(self, accuracy: dict[str, float]):
+        self.expected = accuracy
+        self.accuracy = dict(accuracy)
+        self.discount = {v: 1.0 for v in accuracy}
+
+    def posterior(self, met: Column) -> Column:
+        gain = {v: self.discount[v] * math.log(a / (1 - a)) for v, a in self.accuracy.items()}
+        return F.when(F.size(met) == 0, F.lit(SILENT)).otherwise(_logistic(_summed(met, gain)))
 
     def fit(self, patterns: DataFrame) -> None:
-        """``patterns (votes, n)``: how often each set of votes occurs. Only sums come to the driver."""
+        """``patterns (votes, n)``: how often each set of votes occurs. Only sums by voter come to the driver."""
         for step in range(EM_STEPS):
-            weighed = patterns.withColumn("p", self.posterior(F.col("votes")))
-            total = weighed.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("t")).first()
-            if not total["n"]:
-                return
-            n, toxic = float(total["n"]), float(total["t"])
+            weighed = patterns.where(F.size("votes") > 0).withColumn("p", self.posterior(F.col("votes")))
             sums = {r["v"]: (r["t"], r["n"]) for r in weighed.select(F.explode("votes").alias("v"), "n", "p").groupBy("v").agg(
                 F.sum(F.col("n") * F.col("p")).alias("t"), F.sum("n").alias("n")).collect()}
-            self.prior = min(max((toxic + 1) / (n + 2), 1e-4), 0.5)
-            for v in self.voters:
-                t, all_ = sums.get(v, (0.0, 0))
-                self.toxic[v] = (t + 0.3) / (toxic + 1)
-                # a voter is never taken to speak against the class it was chosen for
-                self.clean[v] = min((all_ - t + 0.003) / (n - toxic + 1), self.toxic[v])
+            for v, start in self.expected.items():
+                toxic, spoken = sums.get(v, (0.0, 0))
+                accuracy = (toxic + PSEUDO_VOTES * start) / (spoken + PSEUDO_VOTES)
+                self.accuracy[v] = min(max(accuracy, 0.51), 0.99)
             if step == EM_STEPS // 2:
-                self._correlate(weighed, toxic, sums)
+                self._correlate(weighed)
 
-    def _correlate(self, weighed: DataFrame, toxic: float, sums: dict) -> None:
+    def _correlate(self, weighed: DataFrame) -> None:
         """Discount each voter by the sum of its correlations with others among toxic rows."""
+        total = weighed.agg(F.sum(F.col("n") * F.col("p")).alias("t")).first()["t"]
+        if not total:
+            return
         pairs = weighed.select("n", "p", "votes", F.explode("votes").alias("a")).select(
-            "n", "p", "a", F.explode("votes").alias("b")).where(F.col("a") < F.col("b")).groupBy("a", "b").agg(
+            "n", "p", "a", F.explode("votes").alias("b")).where(F.col("a") <= F.col("b")).groupBy("a", "b").agg(
             F.sum(F.col("n") * F.col("p")).alias("t")).collect()  # at most one row for each two voters
-        total = {v: 0.0 for v in self.voters}
-        toxic = max(toxic, 1.0)
+        alone = {r["a"]: min(max(r["t"] / total, 1e-6), 1 - 1e-6) for r in pairs if r["a"] == r["b"]}
+        excess = {v: 0.0 for v in self.expected}
         for r in pairs:
-            pa, pb = (min(max(sums[v][0] / toxic, 1e-6), 1 - 1e-6) for v in (r["a"], r["b"]))
-            rho = (r["t"] / toxic - pa * pb) / math.sqrt(pa * (1 - pa) * pb * (1 - pb))
-            for v in (r["a"], r["b"]):
-                total[v] += max(0.0, rho - 0.1)
-        self.discount = {v: 1 / (1 + total[v]) for v in self.voters}
+            if r["a"] != r["b"]:
+                a, b = alone[r["a"]], alone[r["b"]]
+                rho = (r["t"] / total - a * b) / math.sqrt(a * (1 - a) * b * (1 - b))
+                for v in (r["a"], r["b"]):
+                    excess[v] += max(0.0, rho - 0.1)
+        self.discount = {v: 1 / (1 + x) for v, x in excess.items()}
 
 
 def _logistic(x: Column) -> Column:
@@ -213,12 +206,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = find_voters(docs, labels)
-    voters = sorted({*LEXICON, *found})
+    accuracy = {**{v: EXPECTED for v in LEXICON}, **found}
+    voters = sorted(accuracy)
     met = votes(docs, voters, keep=["doc_id"]).withColumn("held_out", held_out(F.col("doc_id")))
     table = settle(met, "votes")
     training = table.where(~F.col("held_out"))
     patterns = settle(training.groupBy("votes").agg(F.count("*").alias("n")), "patterns")
-    model = LabelModel(voters)
+    model = LabelModel(accuracy)
     model.fit(patterns)
     sample = training.orderBy(F.xxhash64("doc_id"), "doc_id", "n_words").limit(MAX_TRAINING).withColumn(
         "posterior", model.posterior(F.col("votes")))
