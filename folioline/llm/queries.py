@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
-    decontaminate as decontamination, pieces, quality as quality_rules, toxicity as toxic_scores)
+    chats, decontaminate as decontamination, extract, licenses, pieces, quality as quality_rules, toxicity as toxic_scores)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -24,6 +24,41 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query("op2_html_extraction")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_read(spark, sf_dir, "pages"))
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _sql_bigrams(column: str) -> str:
+    words = f"list_filter(string_split_regex(lower({column}), '[^0-9a-z]+'), lambda x: x <> '')"
+    return (f"list_distinct(CASE WHEN len({words}) = 1 THEN {words} ELSE list_transform(range(1, len({words})), "
+            f"lambda i: ({words})[i] || ' ' || ({words})[i + 1]) END)")
+
+
+OP3_SQL = f"""
+WITH t AS (SELECT DISTINCT license, {_sql_bigrams('template')} AS tb FROM (VALUES {', '.join(
+    f'({_sql_text(a)}, {_sql_text(b)})' for a, b in licenses.NOTICES)}) AS v(license, template)),
+l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+n AS (SELECT doc_id, i, lower(line) AS line FROM l
+      WHERE len(string_split_regex(lower(line), '[^0-9a-z]+')) BETWEEN 1 AND 100),
+b AS (SELECT doc_id, i, {_sql_bigrams('line')} AS lb FROM n),
+p AS (SELECT doc_id, i, license, 2.0::DOUBLE * len(list_intersect(lb, tb)) / (len(lb) + len(tb)) AS dice
+      FROM b JOIN t ON len(lb) > 0 AND 2 * least(len(lb), len(tb)) >= 0.8 * (len(lb) + len(tb))),
+m AS (SELECT doc_id, count(DISTINCT i) AS n_lines, min((-dice, license)) AS best FROM p WHERE dice >= 0.8 GROUP BY doc_id)
+SELECT d.doc_id, best[2] AS license, -best[1] AS dice, coalesce(n_lines, 0) AS n_lines FROM documents d LEFT JOIN m USING (doc_id)
+"""
+
+
+@query("op3_license_scan", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"), licenses.templates(spark))
+
+
 #: Where the public vocabularies are; a parameter of the operator.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -42,6 +77,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(docs)
 
 
+OP8_SQL = """
+WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, sha256(text)) AS pos FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, list((role, text) ORDER BY pos) AS turns FROM t GROUP BY conv_id),
+p AS (SELECT c.conv_id, q.pos AS k, hash(c.turns[1:q.pos]) AS h FROM c JOIN t q USING (conv_id)),
+e AS (SELECT conv_id, n, hash(turns) AS h FROM c),
+u AS (SELECT min(conv_id) AS conv_id FROM e GROUP BY n, h),
+keep AS (SELECT conv_id FROM u JOIN e USING (conv_id) WHERE NOT EXISTS (
+    SELECT 1 FROM p JOIN c USING (conv_id) WHERE p.k = e.n AND p.h = e.h AND c.n > e.n))
+SELECT conv_id, CAST(floor((pos - 1) / 256) AS BIGINT) AS part, count(*) AS n_turns,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
+FROM t JOIN keep USING (conv_id) GROUP BY ALL
+"""
+
+
+@query("op8_chat_formatting", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.format_chats(_read(spark, sf_dir, "conversations"))
+
+
 _DOC_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
