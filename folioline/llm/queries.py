@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
-    chats, decontaminate as decontamination, extract, licenses, pieces, quality as quality_rules, toxicity as toxic_scores)
+    chats, decontaminate as decontamination, extract, licenses, near_join, pieces, quality as quality_rules,
+    toxicity as toxic_scores)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -71,6 +72,30 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "round_trip")
 
 
+_SPARK_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+OP5_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_SPARK_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(
+      range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+r AS (SELECT doc_id, n, x FROM t WHERE x IN (SELECT x FROM t GROUP BY x HAVING count(*) > 1)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS k FROM r a JOIN r b
+      ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * k >= 80 * (an + bn - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN c USING (doc_id)
+"""
+
+
+@query("op5_ngram_jaccard_join", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_copies(_read(spark, sf_dir, "documents")).drop("node")
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")

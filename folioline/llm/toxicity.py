@@ -18,9 +18,9 @@ from folioline.session import settle
 
 #: Insults that vote before any training.
 LEXICON = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
-#: At most so many labelled rows are searched for voters, those with the least hash of their id.
+#: About so many labelled rows at most are searched for voters, drawn by a hash of their id.
 MAX_LABELLED = 6_000
-#: At most so many rows, chosen likewise, train the classifier.
+#: About so many rows at most, drawn likewise, train the classifier.
 MAX_TRAINING = 20_000
 #: So many found voters at most, each in at least so many toxic rows and of at least such precision.
 MAX_FOUND, MIN_SUPPORT, MIN_PRECISION = 64, 10, 0.8
@@ -59,14 +59,20 @@ def _among(words: Column, wanted: list[str]) -> Column:
     return F.filter(words, lambda w: w.isin(wanted))
 
 
+def _drawn(rows: DataFrame, most: int, *columns: str) -> DataFrame:
+    """About ``most`` rows at most, drawn by a hash of the columns; all rows of a table that is no larger."""
+    share = min(1.0, most / max(1, rows.count()))
+    drawn = rows.where(F.pmod(F.xxhash64(*columns), F.lit(1_000_003)) < share * 1_000_003)
+    return drawn.limit(most + most // 4)
+
+
 def find_voters(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     """Words and word beginnings that go with the label in training rows, with their precision, best first.
 
     ``docs (doc_id, text)``, ``labels (doc_id, toxic)``; null labels and rows of the held-out fold are left out.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = settle(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED), "labelled")
+    chosen = settle(_drawn(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), MAX_LABELLED, "doc_id"), "labelled")
     rows = docs.join(F.broadcast(chosen), "doc_id").select("toxic", _words(F.col("text")).alias("w")).select(
         "toxic", F.size("w").alias("n_words"),
         F.array_sort(F.concat("w", *[_beginnings(F.col("w"), k) for k in PREFIXES])).alias("s"))
@@ -214,8 +220,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     patterns = settle(training.groupBy("votes").agg(F.count("*").alias("n")), "patterns")
     model = LabelModel(accuracy)
     model.fit(patterns)
-    sample = training.orderBy(F.xxhash64("doc_id"), "doc_id", "n_words").limit(MAX_TRAINING).withColumn(
-        "posterior", model.posterior(F.col("votes")))
+    sample = _drawn(training, MAX_TRAINING, "doc_id", "n_words").withColumn("posterior", model.posterior(F.col("votes")))
     weights, rest = train_classifier(sample, voters)
     extra = reduce(lambda a, b: a + b, [w * c for w, c in zip(rest[1:], _extra_features())])
     score = _logistic(F.lit(rest[0]) + extra + _summed(F.col("votes"), weights))
