@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
     chats, decontaminate as decontamination, extract, licenses, near_join, pieces, quality as quality_rules,
-    toxicity as toxic_scores)
+    substrings, toxicity as toxic_scores)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -96,6 +96,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_copies(_read(spark, sf_dir, "documents")).drop("node")
 
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 49)) AS p, h FROM d WHERE len(h) >= 100),
+g AS (SELECT doc_id, p, substring(h, 2 * p + 1, 100) AS s FROM w),
+f AS (SELECT s, min(doc_id) AS least FROM g GROUP BY s HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT g.doc_id, p, lag(p) OVER (PARTITION BY g.doc_id ORDER BY p) AS q FROM g JOIN f USING (s) WHERE g.doc_id > least),
+k AS (SELECT doc_id, p, sum(CASE WHEN p <= q + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM r),
+x AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM k GROUP BY doc_id, k),
+y AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n FROM x GROUP BY doc_id),
+z AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM x
+      UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(len(h)) // 2 FROM d LEFT JOIN x USING (doc_id) GROUP BY d.doc_id),
+t AS (SELECT doc_id, string_agg(substring(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS left_over FROM z JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(left_over)) AS kept_sha256
+FROM d JOIN t USING (doc_id) LEFT JOIN y USING (doc_id)
+"""
+
+
+@query("op6_suffix_array_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
