@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioline.llm import quality
+from folioline.llm import decontaminate, near_join, pieces, quality, substrings
+from folioline.llm.queries import PIECES
 from folioline.session import scratch_dir
 
 
@@ -13,8 +14,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return near_join.one_of_each(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What an earlier document has too is cut out of the texts; every document stays."""
+    return substrings.remove_repeats(docs)
+
+
+def benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, ids, round_trip): the texts as token ids, and whether these decode to the text."""
+    return pieces.encode_and_check(docs, pieces.load_vocabulary(PIECES), keep=["doc_id", "lang", "source"])
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
+    ("repeated_strings", repeated_strings),
+    ("benchmark_texts", benchmark_texts),
+    ("tokens", tokens),
 ]
 
 #: The outlier estimate, among others, has no SQL.

@@ -164,18 +164,19 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items"))
 
 
-def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id, node) for each row of ``docs``.
+def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, component) and the columns ``keep`` for each row of ``docs``.
 
     Rows of equal sets are one node from the start. ``component_id`` is the least doc_id that is reached by links of
     80 per cent; null and empty texts, and rows of words in no set, reach only themselves. Rows that share an id are judged
-    by their own texts. Ids that are null never name a component with others in it.
+    by their own texts. Ids that are null never name a component with others in it. ``component`` is the group's own
+    number, null for empty sets.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    stats = settle(set_digests(rows, "_text", ["doc_id"]), "digests")
-    members = stats.select("doc_id", "n_shingles", "node")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), *keep)
+    stats = settle(set_digests(rows, "_text", ["doc_id", *keep]), "digests")
+    members = stats.select("doc_id", "n_shingles", "node", *keep)
     total = members.select("node").count()
     counted = stats.where(F.col("seen").isNotNull()).select(F.explode("seen").alias("s")).groupBy(
         F.col("s.token").alias("token")).agg(F.sum("s.n").alias("n")).where(F.col("n") * FREQUENT_SHARE > total)
@@ -212,6 +213,29 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     classes = members.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     joined = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = settle(joined.join(least, "component").select("node", "component_id"), "named")
+    named = settle(joined.join(least, "component").select("node", "component", "component_id"), "named")
     return members.join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "component", *keep)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs (doc_id, text, ...)`` but for near copies: of each group the row with the least id stays.
+
+    Of rows that repeat one id and text one stays; null ids come last. Texts without words all stay.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    labels = settle(near_copies(keyed, keep=("_key",)).where(F.col("component").isNotNull()).select(
+        "component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key").alias("row")), "labels")
+    first = labels.groupBy("component").agg(F.min("row").alias("first"), F.count("*").alias("m")).where("m > 1")
+    grouped = settle(labels.join(first, "component"), "groups")
+    lost = settle(grouped.where(F.col("row") != F.col("first")).select(
+        F.col("row.doc_id").alias("_d"), F.col("row._key").alias("_k")).distinct(), "lost")
+    same = keyed["doc_id"].eqNullSafe(lost["_d"]) & (keyed["_key"] == lost["_k"])
+    kept = keyed.join(lost, same, "left_anti")
+    again = settle(grouped.where(F.col("row") == F.col("first")).groupBy("row").count().where("count > 1").select(
+        F.col("row.doc_id").alias("_d2"), F.col("row._key").alias("_k2")), "again")
+    if again.take(1):
+        twice = kept["doc_id"].eqNullSafe(again["_d2"]) & (kept["_key"] == again["_k2"])
+        kept = kept.join(again, twice, "left_anti").unionByName(
+            kept.join(again, twice, "left_semi").dropDuplicates(["doc_id", "_key"]))
+    return kept.drop("_key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
-    chats, decontaminate as decontamination, extract, licenses, near_join, pieces, quality as quality_rules,
+    chats, decontaminate as decontamination, extract, licenses, near_join, paragraphs, pieces, quality as quality_rules,
     substrings, toxicity as toxic_scores)
 
 QUERIES: dict = {}
@@ -25,6 +25,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraphs.repeated_paragraphs(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 @query("op2_html_extraction")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(_read(spark, sf_dir, "pages"))
@@ -93,7 +99,7 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN c
 
 @query("op5_ngram_jaccard_join", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_join.near_copies(_read(spark, sf_dir, "documents")).drop("node")
+    return near_join.near_copies(_read(spark, sf_dir, "documents")).drop("component")
 
 
 OP6_SQL = """
