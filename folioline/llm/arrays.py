@@ -50,6 +50,8 @@ def texts_of(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
     if column.null_count:
         column = column.fill_null(b"")
     n = len(column)
+    if not n:
+        return
     _, ends, data = column.buffers()
     ends = np.frombuffer(ends, np.int64, n + 1, column.offset * 8)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

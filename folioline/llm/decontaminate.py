@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from folioline.llm.rows import text_key, without
 from folioline.session import settle
 
 WINDOW = 13
@@ -84,8 +85,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
     Null and empty texts have no words and no hits; nor does anything with an empty benchmark. Occurrences of a
     document are gathered in one row of at most as many entries as it has words and the benchmark has items.
     """
-    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), key.alias("text_key"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), text_key(text).alias("text_key"))
     found = occurrences(rows, benchmark, "_text", ["doc_id", "text_key"])
     per_doc = found.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("width")).alias("end")))).alias("_spans"),
@@ -111,6 +111,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs (doc_id, text, ...)`` that are not contaminated, all columns as they were."""
     bad = settle(decontaminate(docs, benchmark).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_k")).distinct(), "contaminated")
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & (keyed["_key"] == bad["_k"]), "left_anti").drop("_key")
+        "doc_id", F.col("text_key").alias("key")).distinct(), "contaminated")
+    return without(docs, bad)

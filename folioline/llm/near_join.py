@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioline.llm import arrays, linking, shingles
+from folioline.llm import arrays, linking, rows, shingles
 from folioline.session import settle, ship_package
 
 #: Tokens are dealt to so many groups by their hash for each shuffle partition.
@@ -174,8 +174,8 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), *keep)
-    stats = settle(set_digests(rows, "_text", ["doc_id", *keep]), "digests")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), *keep)
+    stats = settle(set_digests(texts, "_text", ["doc_id", *keep]), "digests")
     members = stats.select("doc_id", "n_shingles", "node", *keep)
     total = members.select("node").count()
     counted = stats.where(F.col("seen").isNotNull()).select(F.explode("seen").alias("s")).groupBy(
@@ -185,7 +185,7 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
     frequent = spark.sparkContext.broadcast(np.sort(frequent.view(np.uint64)))
 
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = _token_groups(rows, "_text", frequent, groups)
+    packed = _token_groups(texts, "_text", frequent, groups)
     rare = packed.where("grp >= 0").groupBy("grp").applyInArrow(_shared_tokens, "node long, n int, token long, df int")
     common = packed.where("grp < 0").mapInArrow(_frequent_shared, "node long, n int, token long, df int")
     shared = rare.unionByName(common)
@@ -207,7 +207,7 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
     index = settle(index.join(met, ["ord", "key"], "left_semi"), "prefixes")
     # candidates have keys under both orders
     wanted = settle(index.groupBy("node").agg(F.count_distinct("ord").alias("k")).where("k = 2").select("node"), "candidates")
-    sets = settle(_sets_for(rows, "_text", wanted), "sets")
+    sets = settle(_sets_for(texts, "_text", wanted), "sets")
     linked = linking.link(index.join(wanted, "node", "left_semi"), sets, shingles.PERCENT, orders=2)
 
     classes = members.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
@@ -223,19 +223,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat one id and text one stays; null ids come last. Texts without words all stay.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    labels = settle(near_copies(keyed, keep=("_key",)).where(F.col("component").isNotNull()).select(
-        "component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key").alias("row")), "labels")
-    first = labels.groupBy("component").agg(F.min("row").alias("first"), F.count("*").alias("m")).where("m > 1")
+    table = rows.packed(docs)
+    labels = near_copies(table.select("doc_id", "key", F.col("row.text").alias("text")), keep=("key",))
+    labels = settle(labels.where(F.col("component").isNotNull()).select(
+        "component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("at")), "labels")
+    first = labels.groupBy("component").agg(F.min("at").alias("first"), F.count("*").alias("m")).where("m > 1")
     grouped = settle(labels.join(first, "component"), "groups")
-    lost = settle(grouped.where(F.col("row") != F.col("first")).select(
-        F.col("row.doc_id").alias("_d"), F.col("row._key").alias("_k")).distinct(), "lost")
-    same = keyed["doc_id"].eqNullSafe(lost["_d"]) & (keyed["_key"] == lost["_k"])
-    kept = keyed.join(lost, same, "left_anti")
-    again = settle(grouped.where(F.col("row") == F.col("first")).groupBy("row").count().where("count > 1").select(
-        F.col("row.doc_id").alias("_d2"), F.col("row._key").alias("_k2")), "again")
+    lost = settle(grouped.where(F.col("at") != F.col("first")).select("at.doc_id", "at.key").distinct(), "lost")
+    again = settle(grouped.where(F.col("at") == F.col("first")).groupBy("at").count().where("count > 1").select(
+        F.col("at.doc_id").alias("_d"), F.col("at.key").alias("_k")), "again")
+    kept = rows.without(docs, lost)
     if again.take(1):
-        twice = kept["doc_id"].eqNullSafe(again["_d2"]) & (kept["_key"] == again["_k2"])
-        kept = kept.join(again, twice, "left_anti").unionByName(
-            kept.join(again, twice, "left_semi").dropDuplicates(["doc_id", "_key"]))
-    return kept.drop("_key")
+        kept = rows.packed(kept)
+        twice = rows.same(kept, again)
+        kept = rows.unpacked(kept.join(again, twice, "left_anti").unionByName(
+            kept.join(again, twice, "left_semi").dropDuplicates(["doc_id", "key"])))
+    return kept

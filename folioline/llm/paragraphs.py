@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from folioline.llm import arrays, linking, shingles
+from folioline.llm.rows import packed, same, text_key
 from folioline.llm.near_join import GROUPS_PER_PARTITION, _shared_tokens
 from folioline.session import settle, ship_package
 
@@ -122,7 +123,7 @@ def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("key"), F.col(text).alias("_text"))
     table = settle(_digests(rows, "_text", ["doc_id", "key"]), "paragraphs")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = _bands(rows, "_text", groups).groupBy("grp").applyInArrow(_shared_tokens, "node long, n int, token long, df int")
@@ -138,8 +139,8 @@ def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     several = settle(joined.join(kept, "component").select("node", "stays"), "several")
     gone = each.join(several, "node").where(place != F.col("stays")).groupBy(
         F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(F.array_sort(F.collect_set("line")).alias("removed"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k"))
-    return table.select("doc_id", "key", F.size("paragraphs").cast("long").alias("n_paragraphs")).join(gone, same, "left").select(
+    alike = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k"))
+    return table.select("doc_id", "key", F.size("paragraphs").cast("long").alias("n_paragraphs")).join(gone, alike, "left").select(
         "doc_id", "key", "n_paragraphs", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
@@ -148,8 +149,9 @@ def remove_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     found = repeated_paragraphs(docs, doc_id, text).where(F.size("removed") > 0)
     cut = settle(found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "removed").dropDuplicates(["_d", "_k"]).withColumnRenamed(
         "removed", "_lines"), "removed")
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    met = keyed.join(cut, keyed[doc_id].eqNullSafe(cut["_d"]) & (keyed["_key"] == cut["_k"]), "left")
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
-    new = F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left)
-    return met.select(*[new.alias(c) if c == text else c for c in docs.columns])
+    table = packed(docs, text, doc_id=doc_id)
+    met = table.join(cut, same(table, cut), "left")
+    own = F.col(f"row.`{text}`")
+    left = F.array_join(F.filter(F.split(own, "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
+    new = F.when(F.col("_lines").isNull(), own).otherwise(left)
+    return met.select(*[new.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

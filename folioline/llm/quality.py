@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from folioline.llm import arrays
+from folioline.llm import arrays, rows
 from folioline.session import settle, ship_package
 
 MIN_WORDS = 20
@@ -160,9 +160,9 @@ def outliers(stats: DataFrame, lang: str = "lang", source: str = "source") -> Da
     spark = stats.sparkSession
     ship_package(spark)
     lang_key, source_key = F.coalesce(F.col(lang), F.lit("\0")), F.coalesce(F.col(source), F.lit("\0"))
-    rows = stats.select("*", lang_key.alias("_lang"), source_key.alias("_source"), *_features())
+    table = stats.select("*", lang_key.alias("_lang"), source_key.alias("_source"), *_features())
 
-    sizes = settle(rows.where(~base_failed()).groupBy("_lang", "_source").count(), "groups")
+    sizes = settle(table.where(~base_failed()).groupBy("_lang", "_source").count(), "groups")
     pooled = sizes.withColumn("_group", F.when(F.col("count") >= MIN_GROUP, F.concat_ws("\1", "_lang", "_source")))
     small = pooled.where(F.col("_group").isNull())
     langs = small.groupBy("_lang").agg(F.sum("count").alias("_n")).withColumn(
@@ -171,7 +171,7 @@ def outliers(stats: DataFrame, lang: str = "lang", source: str = "source") -> Da
         "_lang", "_source", F.coalesce("_group", "_pool").alias("_group")), "groups")
 
     # rows that the fixed rules reject have no say in the estimates; rows of an unseen group take the common pool
-    table = settle(rows.join(groups, ["_lang", "_source"], "left").withColumn(
+    table = settle(table.join(groups, ["_lang", "_source"], "left").withColumn(
         "_group", F.coalesce("_group", F.lit("\1"))), "features")
     inner = table.where(~base_failed()).select("_group", *FEATURES)
     estimates = _estimates(
@@ -228,7 +228,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     Repeated rows share their fate, as it follows from text, language and source.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("text", "lang", "source"))
-    bad = settle(quality(keyed, keep=["doc_id", "_key"]).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).distinct(), "rejected")
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & (keyed["_key"] == bad["_k"]), "left_anti").drop("_key")
+    keyed = rows.packed(docs, "text", "lang", "source").select(
+        "doc_id", "key", F.col("row.text").alias("text"), F.col("row.lang").alias("lang"), F.col("row.source").alias("source"))
+    bad = settle(quality(keyed, keep=["doc_id", "key"]).where(~F.col("kept")).select("doc_id", "key").distinct(), "rejected")
+    return rows.without(docs, bad, "text", "lang", "source")

@@ -22,6 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from folioline.llm import arrays
+from folioline.llm.rows import packed, text_key
 from folioline.session import settle, ship_package
 
 LENGTH = 50
@@ -139,7 +140,7 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
 def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, key, data): the id, a number that tells rows of one id apart by their texts, and the bytes."""
     ids = docs.groupBy(doc_id).count().where("count > 1")
-    key = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(0x7FFFFFFF).cast("int") if ids.take(1) else F.lit(0)
+    key = text_key(text).bitwiseAND(0x7FFFFFFF).cast("int") if ids.take(1) else F.lit(0)
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), key.alias("key"),
                        F.col(text).alias("data"))
 
@@ -298,13 +299,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     made = _each_kept(numbered, make, "doc long, key int, gone long, left string").where("gone > 0").dropDuplicates(["doc", "key"])
     changed = settle(made.select("doc", "key", "left"), "cut")
-    columns = docs.columns
-    rows = docs.select("*", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_doc"),
-                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(0x7FFFFFFF).cast("int").alias("_key"))
-    changed = changed.select(F.col("doc").alias("_doc2"), F.col("key").alias("_key2"), F.col("left").alias("_left"))
-    met = rows.join(changed, (F.col("_doc") == F.col("_doc2")) & ((F.col("_key2") == 0) | (F.col("_key") == F.col("_key2"))), "left")
-    new = F.coalesce("_left", text)
+    rows = packed(docs, text, doc_id=doc_id).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"),
+        F.col("key").bitwiseAND(0x7FFFFFFF).cast("int").alias("_key"), "row")
+    met = rows.join(changed, (F.col("_doc") == F.col("doc")) & ((F.col("key") == 0) | (F.col("_key") == F.col("key"))), "left")
+    new = F.coalesce(F.col("left"), F.col(f"row.`{text}`"))
     out = {text: new}
-    if n_chars in columns:
-        out[n_chars] = F.when(F.col("_left").isNull(), F.col(n_chars)).otherwise(F.length(new).cast(docs.schema[n_chars].dataType))
-    return met.select(*[out[c].alias(c) if c in out else c for c in columns])
+    if n_chars in docs.columns:
+        out[n_chars] = F.when(F.col("left").isNull(), F.col(f"row.`{n_chars}`")).otherwise(
+            F.length(new).cast(docs.schema[n_chars].dataType))
+    return met.select(*[out.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
