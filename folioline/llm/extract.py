@@ -23,7 +23,7 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legen
 section summary table tbody td tfoot th thead title tr ul""".split())
 BARRED = frozenset("""aside button canvas datalist dialog footer form head iframe map menu nav noscript object select
 svg template""".split())
-RAW = frozenset("script style textarea xmp noembed noframes".split())
+RAW = frozenset("title script style textarea xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never opened or closed by accident: an unclosed barred element ends where one of these begins or its parent ends.
 LANDMARKS = frozenset("article main".split())

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from folioline.session import settle, ship_package
 
 #: Rounds of leaders at most; and so many pairs for each row of the index may be left for the last step.
-ROUNDS, FEW = 12, 3
+ROUNDS, FEW = 6, 20
 #: Bits of the filter that keeps rows without any candidate from being shuffled; 1 MB, whatever the data.
 FILTER_BITS = 1 << 23
 
@@ -65,7 +65,7 @@ def in_filter(bits: bytes, node: int) -> bool:
 
 
 def compare_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs (a, b)`` plus ``linked``: whether 100 * intersection >= percent * union.
+    """``pairs (a, b, ca, cb)``, nodes and their components so far, plus ``linked``: whether 100 * intersection >= percent * union.
 
     ``sets (node, items)``: ascending 64-bit numbers as binary, one row for each node.
     """
@@ -74,18 +74,19 @@ def compare_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            for x, y in zip(batch.column(4), batch.column(5)):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(p) > len(q):
                     p, q = q, p
                 at = np.searchsorted(q, p)
                 common = int((q[np.minimum(at, len(q) - 1)] == p).sum()) if len(p) else 0
                 linked.append(common > 0 and 100 * common >= percent * (len(p) + len(q) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(linked, pa.bool_())], ["a", "b", "ca", "cb", "linked"])
 
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long, linked boolean")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b").select(
+        "a", "b", "ca", "cb", "x", "y")
+    return both.mapInArrow(run, "a long, b long, ca long, cb long, linked boolean")
 
 
 def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> DataFrame:
@@ -97,8 +98,12 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
     def fit(a: Column, b: Column) -> Column:
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
-    live = settle(index.withColumn("comp", F.col("node")), "index")
-    links, done, found = None, None, None
+    # keys with the same members say the same: of copies that share hundreds of tokens a few groups are left
+    signs = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"s{k}") for k in (1, 2)]
+    groups = index.groupBy("ord", "key").agg(*signs, F.count("*").alias("m"))
+    unlike = settle(groups.where("m > 1").groupBy("ord", "s1", "s2", "m").agg(F.min("key").alias("key")).select("ord", "key"), "keys")
+    live = settle(index.join(unlike, ["ord", "key"], "left_semi").withColumn("comp", F.col("node")), "index")
+    done, found = None, None
     for turn in range(ROUNDS + 1):
         groups = live.groupBy("ord", "key", "comp").count().groupBy("ord", "key").agg(
             F.count("*").alias("comps"), F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same"))
@@ -106,7 +111,7 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
         left = open_keys.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not left["rows"]:
             break
-        live = settle(live.join(open_keys.select("ord", "key"), ["ord", "key"], "left_semi"), "index")
+        live = live.join(open_keys.select("ord", "key"), ["ord", "key"], "left_semi")
         last = turn == ROUNDS or left["pairs"] <= FEW * left["rows"]
         if last:
             other = live.select("ord", "key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
@@ -118,19 +123,27 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
                            F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
             leaders = live.groupBy("ord", "key").agg(F.min(lot).alias("s")).select("ord", "key", "s.node2", "s.n2", "s.comp2")
             met = live.join(leaders, ["ord", "key"]).where((F.col("comp") != F.col("comp2")) & fit(F.col("n"), F.col("n2")))
-        pairs = met.groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).agg(
-            F.count_distinct("ord").alias("k")).where(F.col("k") == orders).select("a", "b")
+        first, second = F.col("node") < F.col("node2"), F.col("node") >= F.col("node2")
+        pairs = met.select(
+            F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), "ord",
+            F.when(first, F.col("comp")).otherwise(F.col("comp2")).alias("ca"),
+            F.when(second, F.col("comp")).otherwise(F.col("comp2")).alias("cb")).groupBy("a", "b", "ca", "cb").agg(
+            F.count_distinct("ord").alias("k")).where(F.col("k") == orders).drop("k")
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        compared = settle(compare_sets(settle(pairs, "pairs"), sets, percent), "compared")
-        fresh = compared.where("linked").select("a", "b")
+        compared = settle(compare_sets(pairs, sets, percent), "compared")
         done = compared.select("a", "b") if done is None else done.unionByName(compared.select("a", "b"))
+        fresh = compared.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         if fresh.take(1):
-            # components so far are stars already: new links join them
-            links = fresh if found is None else fresh.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            found = settle(components(links), "components")
-            live = live.drop("comp").join(found.select("node", F.col("component").alias("comp")), "node", "left").withColumn(
-                "comp", F.coalesce("comp", "node"))
+            roots = components(fresh)
+            named = roots.select(F.col("node").alias("comp"), "component")
+            live = live.join(named, "comp", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
+            if found is not None:
+                old = found.join(named.withColumnRenamed("component", "root"), F.col("component") == F.col("comp"), "left").select(
+                    "node", F.coalesce("root", "component").alias("component"))
+                roots = roots.join(found.select("node"), "node", "left_anti").unionByName(old)
+            found = settle(roots, "components")
         if last:
             break
+        live = settle(live, "index")
     return found if found is not None else index.select("node", F.col("node").alias("component")).limit(0)
