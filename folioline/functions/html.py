@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from folioline.fixed import PAGE_KEY, YEAR_SELECT_ID
+from folioline.fixed import PAGE_KEY, YEAR_KEY, YEAR_SELECT_ID
 from folioline.functions.text import to_int, trim_space
 from folioline.functions.urls import query_param
 
 
 def anchor_tags(html: Column) -> Column:
     """All opening ``<a …>`` tags, in order."""
-    return F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*>"), F.lit(0))
+    return F.regexp_extract_all(html, F.lit(r"""(?i)<a\s(?:[^"'>]|"[^"]*"|'[^']*')*>"""), F.lit(0))
 
 
 def has_attribute(tag: Column, name: str) -> Column:
@@ -39,8 +39,9 @@ def hrefs(html: Column) -> Column:
 
 
 def table_rows(html: Column) -> Column:
-    """The markup of each table row, from its ``<tr`` up to the next one."""
-    return F.filter(F.split(html, r"(?i)<tr(?=[\s>])"), lambda part, i: i > 0)
+    """The markup of each table row, from its ``<tr`` up to its end, the next one or the end of the table."""
+    parts = F.filter(F.split(html, r"(?i)<tr(?=[\s>])"), lambda part, i: i > 0)
+    return F.transform(parts, lambda part: F.get(F.split(part, r"(?i)</(?:tr|tbody|table)(?=[\s>])"), F.lit(0)))
 
 
 def first_cell_text(row: Column) -> Column:
@@ -62,7 +63,12 @@ def year_options(html: Column) -> Column:
     return F.regexp_extract_all(box, F.lit(r"(?i)<option(?:\s[^>]*)?>([^<]*)"), F.lit(1))
 
 
-def last_page(html: Column) -> Column:
-    """Greatest page number any link to a listing page carries; NULL where no such link exists."""
+def last_page(html: Column, year: Column | None = None) -> Column:
+    """Greatest page number any link to a listing page carries; NULL where no such link exists.
+
+    With ``year`` links to the listings of another year do not count.
+    """
     listing = F.filter(hrefs(html), lambda href: href.rlike(r"^[^?]*list\.py\?[^?]*\z"))
+    if year is not None:
+        listing = F.filter(listing, lambda href: query_param(href, YEAR_KEY).isin("") | (query_param(href, YEAR_KEY) == year))
     return F.array_max(F.transform(listing, lambda href: to_int(query_param(href, PAGE_KEY))))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 from folioline.fixed import (
@@ -16,16 +14,14 @@ def query_string(url: Column) -> Column:
 
 
 def query_param(url: Column, key: str) -> Column:
-    """First well-formed value of parameter ``key``, decoded; '' where there is none.
+    """First well-formed value of parameter ``key``, both decoded; '' where there is none.
 
     A pair with a bare ``;`` or a broken ``%`` escape is not well-formed and is passed over.
     ``parse_url`` would fail on blanks in the URL and leave the value encoded.
     """
-    value = F.regexp_extract(
-        query_string(url),
-        rf"(?:^|&){re.escape(key)}(?:=((?:[^&;%]|%[0-9A-Fa-f]{{2}})*+))?(?=&|\z)",
-        1,
-    )
+    pairs = F.filter(F.split(query_string(url), "&"), lambda pair: ~pair.rlike(r";|%(?![0-9A-Fa-f]{2})"))
+    named = F.filter(pairs, lambda pair: F.try_url_decode(F.substring_index(pair, "=", 1)) == key)
+    value = F.regexp_extract(F.get(named, F.lit(0)), r"(?s)^[^=]*=(.*)\z", 1)
     return F.coalesce(F.try_url_decode(value), F.lit(""))
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioline.fixed import NO_EMBEDDINGS
+from folioline.schema import NO_EMBEDDINGS
 from folioline.functions.text import tokens
 from folioline.session import ship_package
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioline.fixed import INVALID_URL
+from folioline.schema import INVALID_URL
 from folioline.functions.urls import is_malformed, path_from_url
 
 

@@ -62,11 +62,14 @@ def knn_cosine(
 
     ``auto`` broadcasts the queries after counting that there are at most ``broadcast_queries``
     of them; beyond, blocks of pages meet blocks of queries by shuffle. Both are exact. A vector
-    that is NULL or all zero has no direction and is nobody's neighbour.
+    that is NULL or all zero has no direction and is nobody's neighbour; nor is one without id, or of another width
+    than the widest query's. :func:`folioline.operators.checks.check_dim` tells such vectors apart.
     """
     ship_package(pages.sparkSession)
-    pages = pages.where(F.col(vec_col).isNotNull()).select(id_col, vec_col)
-    queries = queries.where(F.col(query_vec_col).isNotNull()).select(query_id_col, query_vec_col)
+    queries = queries.where(F.col(query_id_col).isNotNull() & F.col(query_vec_col).isNotNull()).select(query_id_col, query_vec_col)
+    width = queries.agg(F.max(F.size(query_vec_col)).alias("width")).first()["width"] or 0
+    queries = queries.where(F.size(query_vec_col) == width)
+    pages = pages.where(F.col(id_col).isNotNull() & (F.size(vec_col) == width)).select(id_col, vec_col)
     # one more is kept where the query itself may be among the best
     want = k + 1 if exclude_self else k
     types = (pages.schema[id_col].dataType.simpleString(), queries.schema[query_id_col].dataType.simpleString())

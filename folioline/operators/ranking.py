@@ -109,9 +109,9 @@ class QueryBlock:
         row = np.repeat(np.arange(n), lengths)[known]
         cell = row * width + place.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
         tf = np.bincount(cell, minlength=n * width).reshape(n, width).astype(np.float64)
-        scale = k1 * ((1.0 - b) + b * lengths[:, None] / avg_len)
         # a page without words has no term either: 0 / 0 is no match
-        with np.errstate(invalid="ignore"):
+        with np.errstate(invalid="ignore", divide="ignore"):
+            scale = k1 * ((1.0 - b) + b * lengths[:, None] / np.float64(avg_len))
             saturated = np.where(tf > 0, tf * (k1 + 1.0) / (tf + scale), 0.0)
         scores = saturated @ self.weights
         scores[scores <= 0] = np.nan

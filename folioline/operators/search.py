@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from folioline.fixed import BM25_B, BM25_K1
 from folioline.functions.text import tokens
-from folioline.operators.ranking import bm25_by_blocks, bm25_by_broadcast, top_k
+from folioline.operators.ranking import PAGE_BLOCK, QUERY_BLOCK, bm25_by_blocks, bm25_by_broadcast, top_k
 from folioline.session import small_frame
 
 # Sizes of a query set, in (query, term) pairs, up to which it is part of the plan or broadcast.
@@ -62,7 +62,8 @@ def _idf(n: Column, df: Column) -> Column:
 
 
 def _saturated(tf: Column, length: Column, avg_len: Column, k1: float, b: float) -> Column:
-    return tf * (k1 + 1.0) / (tf + k1 * ((1.0 - b) + b * length / avg_len))
+    # no page has a word where the mean length is 0
+    return tf * (k1 + 1.0) / (tf + k1 * ((1.0 - b) + b * F.try_divide(length.cast("double"), avg_len)))
 
 
 def bm25_topk(
@@ -75,6 +76,8 @@ def bm25_topk(
     b: float = BM25_B,
     inline_terms: int = INLINE_TERMS,
     broadcast_pairs: int = BROADCAST_PAIRS,
+    query_rows: int = QUERY_BLOCK,
+    page_rows: int = PAGE_BLOCK,
 ) -> DataFrame:
     """``(query_id, id, score, rank)``: the ``k`` best pages of each query.
 
@@ -82,20 +85,23 @@ def bm25_topk(
     ``inline_terms`` (query, term) pairs are written into the plan and scored in the JVM; up to
     ``broadcast_pairs`` are broadcast and scored as a matrix product per Arrow batch; beyond, blocks
     of pages meet blocks of queries by shuffle. All three are exact, and in none does a page that is not
-    among the best of its task leave it.
+    among the best of its task leave it. In all, a page without id is not part of the collection, a NULL text
+    has no words, and a query or term that is NULL asks for nothing.
     """
     if not isinstance(queries, DataFrame):
-        pairs = [(query, term) for query, terms in queries.items() for term in sorted(set(terms))]
+        pairs = [(query, term) for query, terms in queries.items() if query is not None
+                 for term in sorted({t for t in terms if t is not None})]
         if not pairs:
             raise ValueError("no query terms")
     else:
-        queries = queries.select("query_id", "term").where(F.col("term").isNotNull()).distinct()
+        queries = queries.select("query_id", "term").where("query_id is not null and term is not null").distinct()
         pairs = [tuple(row) for row in queries.limit(broadcast_pairs + 1).collect()]
-    words = pages.select(id_col, tokens(F.col(text_col)).alias("_words"))
+    words = pages.where(F.col(id_col).isNotNull()).select(
+        id_col, tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_words"))
     if not isinstance(queries, DataFrame) and len(pairs) > inline_terms:
         queries = small_frame(pages.sparkSession, pairs, ["query_id", "term"])
     if len(pairs) > broadcast_pairs:
-        return top_k(bm25_by_blocks(words, queries, k, id_col, k1, b), "query_id", "score", id_col, k)
+        return top_k(bm25_by_blocks(words, queries, k, id_col, k1, b, query_rows, page_rows), "query_id", "score", id_col, k)
     if len(pairs) > inline_terms:
         return top_k(bm25_by_broadcast(words, queries, k, id_col, k1, b), "query_id", "score", id_col, k)
     wanted: dict = {}

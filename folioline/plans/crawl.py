@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from folioline.fixed import LINK_BASE, LINK_TYPE, NO_HREF, SITE_HOST, WANTED_CHAMBERS, YEAR_KEY
+from folioline.fixed import LINK_BASE, LINK_TYPE, SITE_HOST, WANTED_CHAMBERS, YEAR_KEY
 from folioline.functions import html as H
 from folioline.functions.text import to_int
 from folioline.functions.urls import listing_url, query_param
@@ -14,6 +14,7 @@ from folioline.operators.links import (
     absolute_links, distinct_links, extract_row_links, filter_in, has_link, listing_frontier, max_page,
     on_allowed_host,
 )
+from folioline.schema import NO_HREF
 
 
 @dataclass
@@ -28,8 +29,8 @@ def next_listings(listings: DataFrame, at_least_one: bool = True) -> DataFrame:
     The page count of a year is the greatest that any of its pages mentions. A year whose
     pagination is missing has one page, unless ``at_least_one`` is off: then it has none.
     """
-    year = to_int(query_param(F.col("url"), YEAR_KEY))
-    seen = listings.select(year.alias("year"), H.last_page(F.col("html")).alias("n")).where("year is not null")
+    asked = query_param(F.col("url"), YEAR_KEY)
+    seen = listings.select(to_int(asked).alias("year"), H.last_page(F.col("html"), asked).alias("n")).where("year is not null")
     counted = max_page(seen, ["year"], "n", out="n")
     pages = listing_frontier(counted, "n", at_least_one=at_least_one)
     return pages.withColumn("url", listing_url(F.col("year"), F.col("page")))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from folioline.fixed import SITE_HOST
 from folioline.functions import html as H, ids as I, text as T, urls as U
 from folioline.operators import audit, checks, links as L, lookup, pages as P, search, upsert
 from folioline.operators.embed import embed, hash_embed, hashed_terms
@@ -18,6 +19,7 @@ from folioline.operators.extract import extract_text
 from folioline.operators.nearest import knn_cosine
 from folioline.plans.crawl import crawl
 from folioline.plans.ingest import Ingest
+from folioline.schema import INVALID_URL
 from folioline.session import scratch_dir, settle, small_frame, spread
 from folioline.sinks.blobs import read_saved, save_blobs
 from folioline.sinks.runlog import write_run_log
@@ -90,16 +92,25 @@ def listing_scan(spark, sf_dir):
         "page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
-@register("blob_scan")
+def _files(spark, sf_dir) -> str:
+    """A folder with a text file for each page, in a folder of its number."""
+    root = scratch_dir(spark, "files")
+    _table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(root)
+    return root
+
+
+def _page_of_path():
+    return F.regexp_extract("path", r"/page_id=(\d+)/[^/]+\z", 1).cast("long").alias("page_id")
+
+
+@register("blob_scan", "SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length, md5(html || chr(10)) AS digest FROM pages")
 def blob_scan(spark, sf_dir):
-    return read_blobs(spark, sf_dir, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "length", _hex("content").alias("digest"))
+    return read_blobs(spark, _files(spark, sf_dir), "*.txt").select(_page_of_path(), "length", _hex("content").alias("digest"))
 
 
-@register("landed_files")
+@register("landed_files", "SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length FROM pages")
 def landed(spark, sf_dir):
-    return landed_files(spark, sf_dir, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    return landed_files(spark, _files(spark, sf_dir), "*.txt").select(_page_of_path(), "length")
 
 
 def _log(spark, sf_dir):
@@ -188,7 +199,7 @@ def path_from_url(spark, sf_dir):
 
 
 @register("invalid_paths", f"""
-    SELECT url AS link, 'path' AS stage, 'URL does not contain all required query parameters' AS error
+    SELECT url AS link, 'path' AS stage, '{INVALID_URL}' AS error
     FROM pages WHERE {SQL_PARAM.format('page')} = '' OR {SQL_PARAM.format('ref')} = ''""")
 def invalid_paths(spark, sf_dir):
     links = _table(spark, sf_dir, "pages").select(F.col("url").alias("link"))
@@ -255,12 +266,10 @@ def distinct_links(spark, sf_dir):
 
 
 @register("union_links", f"""
-    SELECT unnest({SQL_HREFS}) AS link FROM pages WHERE {SQL_HOST} LIKE '%.com'
-    UNION SELECT unnest({SQL_HREFS}) FROM pages WHERE {SQL_HOST} LIKE '%.org'""")
+    SELECT unnest({SQL_HREFS}) AS link FROM pages UNION SELECT url FROM pages""")
 def union_links(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
-    parts = [pages.where(U.host(F.col("url")).endswith(end)) for end in (".com", ".org")]
-    return L.union_links([L.extract_links(part, [], out="link") for part in parts])
+    return L.union_links([L.extract_links(pages, [], out="link"), pages.select(F.col("url").alias("link"))])
 
 
 @register("crawl_counts", f"""
@@ -273,12 +282,14 @@ def crawl_counts(spark, sf_dir):
 
 @register("crawl", f"""
     SELECT DISTINCT 'https://juris.bundesgerichtshof.de/cgi-bin/rechtsprechung/' || unnest({SQL_HREFS}) AS link
-    FROM pages WHERE {SQL_HOST} IN {tuple(HOSTS)}""")
+    FROM pages""")
 def crawl_links(spark, sf_dir):
     # navigation items as table rows of a wanted chamber, their anchors as document anchors
     rows = F.replace(F.col("html"), F.lit("<li>"), F.lit("<tr><td> X. Zivilsenat\n</td><td>"))
     listing = F.replace(rows, F.lit("<a href"), F.lit("<a type='application/pdf' href"))
-    return crawl(_table(spark, sf_dir, "pages").select("url", listing.alias("html")), hosts=HOSTS).links
+    # all hosts are looked at here; the list of allowed ones has a query of its own
+    own = F.concat(F.lit(f"https://{SITE_HOST}/"), F.col("url"))
+    return crawl(_table(spark, sf_dir, "pages").select(own.alias("url"), listing.alias("html"))).links
 
 
 # text and pages
@@ -645,6 +656,14 @@ def bm25_many_queries(spark, sf_dir):
     return _rounded(search.bm25_topk(_texts(spark, sf_dir), queries, 5, "doc_id"), "score")
 
 
+@register("bm25_blocks", _sql_bm25(f"SELECT DISTINCT item_id AS query_id, unnest({SQL_WORDS}) AS term FROM benchmark", 5))
+def bm25_blocks(spark, sf_dir):
+    queries = search.analyze_tokens(_table(spark, sf_dir, "benchmark"), ["item_id"], out="term")
+    queries = queries.withColumnRenamed("item_id", "query_id")
+    found = search.bm25_topk(_texts(spark, sf_dir), queries, 5, "doc_id", inline_terms=0, broadcast_pairs=0, query_rows=16, page_rows=512)
+    return _rounded(found, "score")
+
+
 @register("highlight", f"""
     WITH best AS ({_sql_bm25(SQL_TERMS, 10)})
     SELECT best.doc_id, array_to_string(list_transform(string_split_regex(text, '\\s+'),
@@ -653,7 +672,8 @@ def bm25_many_queries(spark, sf_dir):
 def highlight(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     best = search.bm25_topk(docs, {"q": TERMS}, 10, "doc_id").select("doc_id")
-    marked = docs.join(best, "doc_id").select("doc_id", T.highlight(F.col("text"), TERMS).alias("marked"))
+    # stored, so that Spark knows that these are few and leaves the texts where they are
+    marked = docs.join(settle(best, "best"), "doc_id").select("doc_id", T.highlight(F.col("text"), TERMS).alias("marked"))
     return marked.withColumn("marked", F.regexp_replace("marked", r"\s+", " "))
 
 
@@ -690,7 +710,7 @@ def knn(spark, sf_dir):
 @register("knn_cosine_blocks", _sql_knn(SQL_CENTROIDS).format(self="FALSE"))
 def knn_blocks(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings")
-    found = knn_cosine(vectors, _centroids(vectors), 5, "vec_id", "embedding", method="blocks")
+    found = knn_cosine(vectors, _centroids(vectors), 5, "vec_id", "embedding", method="blocks", broadcast_queries=2, block_rows=64)
     return _rounded(found, "similarity")
 
 
@@ -805,7 +825,7 @@ def streamed(spark, sf_dir):
 
 @register("rejects", f"""
     WITH l AS (SELECT *, url || '&nr=' || page_id AS link FROM pages)
-    SELECT link, 'path' AS stage, 'URL does not contain all required query parameters' AS error, 7::BIGINT AS batch_id
+    SELECT link, 'path' AS stage, '{INVALID_URL}' AS error, 7::BIGINT AS batch_id
     FROM l WHERE {SQL_PARAM.format('page')} = ''
     UNION ALL
     SELECT link, 'embed', 'too long', 7::BIGINT FROM l WHERE {SQL_PARAM.format('page')} <> '' AND length(html) > 1500""")

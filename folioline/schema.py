@@ -37,3 +37,8 @@ RUN_LOG = T.StructType([
     T.StructField("seconds", T.DoubleType()),
     T.StructField("batch_id", T.LongType()),
 ])
+
+# Texts of rejects.
+INVALID_URL = "no storage path: a parameter of the URL is missing or broken"
+NO_HREF = "row without a document anchor"
+NO_EMBEDDINGS = "embedder gave fewer vectors than texts"

@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from folioline.functions.ids import document_id, page_id
-from folioline.operators.upsert import ConflictError, instant, with_defaults
+from folioline.operators.upsert import ConflictError, instant, strict_conflicts, with_defaults
 from folioline.schema import DOCUMENT_PAGES, DOCUMENTS
 from folioline.session import empty_frame
 
@@ -128,9 +128,13 @@ class PageStore:
         stored = self._documents(newest, base).select("file_path", "id")
         known = self._note("known", version, batch.join(stored, "file_path"))
         if mode == "strict":
-            clash = known.take(1)
+            offered = documents.select("file_path").where(F.col("file_path").isNotNull())
+            clash = strict_conflicts(stored, offered, ["file_path"]).take(1)
             if clash:
-                raise ConflictError(f"already present: {clash[0]['file_path']}")
+                raise ConflictError(f"already present or repeated: {clash[0]['file_path']}")
+            twice = pages.groupBy("file_path", "page").count().where("count > 1").take(1)
+            if twice:
+                raise ConflictError(f"repeated: page {twice[0]['page']} of {twice[0]['file_path']}")
         added = with_defaults(
             batch.join(known.select("file_path"), "file_path", "left_anti"), document_id(F.col("file_path")), now)
 

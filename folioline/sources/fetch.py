@@ -20,7 +20,7 @@ def url_fetcher(timeout: float = 60.0) -> Callable[[str], bytes]:
         with urllib.request.urlopen(link, timeout=timeout) as answer:
             status = getattr(answer, "status", None)
             if status not in (None, 200):
-                raise OSError(f"bad status: {status}")
+                raise OSError(f"HTTP status {status}")
             return answer.read()
 
     return run

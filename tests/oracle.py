@@ -24,7 +24,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _plain(value):
     if isinstance(value, float):
         return None if math.isnan(value) else round(value, 9)
-    return value
+    return tuple(map(_plain, value)) if isinstance(value, list) else value
 
 
 def sql_rows(con, sql: str) -> tuple[list[str], Counter]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioline.operators.embed import embed, hash_embed, hashed_terms
 from folioline.operators.extract import command_extractor, extract_text
 from folioline.sources.fetch import fetch, fetch_from_landing, url_fetcher
+from folioline.schema import NO_EMBEDDINGS
 
 
 def lengths():
@@ -74,7 +75,7 @@ def test_embedder_runs_once_under_filters(spark, tmp_path):
 
 def test_empty_reply_is_an_error(spark):
     done = embed(spark.createDataFrame([("x",)], "t string"), "t", empty_reply).first()
-    assert done["embeddings"] is None and done["error"] == "no embeddings returned"
+    assert done["embeddings"] is None and done["error"] == NO_EMBEDDINGS
 
 
 def test_hashed_vectors(spark):

@@ -8,6 +8,7 @@ from folioline.session import scratch_dir
 from folioline.sinks.blobs import landed_paths
 from folioline.sources.runlog import read_run_log
 from folioline.streaming.ingest import ingest_stream, stream_links
+from folioline.schema import INVALID_URL
 
 LINK = "https://example.org/document.py?Gericht=bgh&Datum=2024&nr={}&anz=9&pos=1"
 NOW = datetime(2024, 1, 1)
@@ -50,7 +51,7 @@ def test_ingest(spark):
     assert stored(ingest) == GOOD
     rejects = {(r["link"], r["stage"], r["error"], r["batch_id"]) for r in ingest.rejects().collect()}
     assert rejects == {
-        ("https://example.org/none", "path", "URL does not contain all required query parameters", 0),
+        ("https://example.org/none", "path", INVALID_URL, 0),
         (LINK.format(6), "fetch", "not found in landing table", 0),
         (LINK.format(3), "extract", "not UTF-8 text", 0),
         (LINK.format(4), "embed", "refused", 0)}
@@ -94,14 +95,14 @@ def test_a_batch_that_died_is_done_again(spark, monkeypatch):
 def test_fetcher_and_extractor(spark):
     def fetcher(link):
         if "nr=2" in link:
-            raise OSError("bad status: 404")
+            raise OSError("HTTP status 404")
         return b"a b"
 
     ingest = Ingest(spark, scratch_dir(spark, "i"), fetcher=fetcher, fetch_slots=2, width=4,
                     extractor=lambda content: content.decode().replace(" ", "\f"))
     ingest.run(links(spark, 1, 2), 0, NOW)
     assert stored(ingest) == {(path(1), 1, "a"), (path(1), 2, "b")}
-    assert {r["error"] for r in ingest.rejects().where("stage = 'fetch'").collect()} == {"bad status: 404"}
+    assert {r["error"] for r in ingest.rejects().where("stage = 'fetch'").collect()} == {"HTTP status 404"}
     with pytest.raises(ValueError):
         Ingest(spark, scratch_dir(spark, "i")).run(links(spark, 1), 0, NOW)
 

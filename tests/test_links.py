@@ -4,6 +4,7 @@ from folioline.fixed import LINK_BASE
 from folioline.functions import text as T
 from folioline.operators import links as L
 from folioline.plans.crawl import crawl, next_listings
+from folioline.schema import NO_HREF
 
 HOST = "https://juris.bundesgerichtshof.de/cgi-bin/rechtsprechung/list.py?Gericht=bgh&Art=en"
 
@@ -42,7 +43,7 @@ def test_crawl(spark, rows):
     done = crawl(listings(spark))
     assert rows(done.links) == [(f"{LINK_BASE}/document.py?nr=1&pos=1",), (f"{LINK_BASE}/document.py?nr=2",)]
     # a first anchor without a target counts as no link, as does a row without a typed anchor
-    assert rows(done.rejects) == [(HOST + "&Datum=2024", "crawl", "no href found for link")] * 2
+    assert rows(done.rejects) == [(HOST + "&Datum=2024", "crawl", NO_HREF)] * 2
 
 
 def test_years(spark, rows):

@@ -174,12 +174,12 @@ def test_run_log(spark, tmp_path):
 
 def test_log_and_summary(spark):
     events = spark.createDataFrame(
-        [("a", "fetch", None, 1.0), ("b", "fetch", None, 3.0), ("c", "fetch", "bad status: 404", 0.5)],
+        [("a", "fetch", None, 1.0), ("b", "fetch", None, 3.0), ("c", "fetch", "HTTP status 404", 0.5)],
         "link string, stage string, error string, seconds double")
     path = scratch_dir(spark, "t")
     write_run_log(as_log(events, F.lit(T1), 4), path)
     log = read_run_log(spark, path)
-    assert log.where("level = 'error'").first()["msg"] == "failed fetch: bad status: 404"
+    assert log.where("level = 'error'").first()["msg"] == "failed fetch: HTTP status 404"
     found = {(r["stage"], r["status"]): (r["n"], r["avg_seconds"]) for r in stage_summary(log).collect()}
     assert found == {("fetch", "ok"): (2, 2.0), ("fetch", "failed"): (1, 0.5)}
     assert {r["batch_id"] for r in log.collect()} == {4}

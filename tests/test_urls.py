@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from folioline.functions import urls as U
 from folioline.operators import lookup
+from folioline.schema import INVALID_URL
 
 GOOD = ("https://juris.bundesgerichtshof.de/cgi-bin/rechtsprechung/document.py?Gericht=bgh&Art=en&Datum=2021"
         "&Seite=98&nr=117424&anz=3571&pos=2950&Blank=1.pdf")
@@ -25,7 +26,7 @@ def test_missing_parameter_is_rejected(spark, rows, missing):
     links = spark.createDataFrame([(GOOD.replace(missing, ""),), (GOOD,)], "link string")
     good, bad = lookup.with_path(links)
     assert rows(good, "link") == [(GOOD,)]
-    assert rows(bad) == [(GOOD.replace(missing, ""), "path", "URL does not contain all required query parameters")]
+    assert rows(bad) == [(GOOD.replace(missing, ""), "path", INVALID_URL)]
 
 
 @pytest.mark.parametrize("url, value", [
