@@ -28,23 +28,29 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars in turn, until nothing changes. All steps are joins and minima over narrow rows; a minimum is
     combined in the tasks before the shuffle, so a node of very many edges is no matter.
     """
-    now = settle(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    now = _settled(edges.select("a", "b").where("a <> b").distinct(), "edges")
     before = None
     while True:
         both = now.union(now.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = settle(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        # large star: each later neighbour of a node is joined to the node's least one
+        large = _settled(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "edges")
+        # small star: so is each earlier one, and the node itself
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).union(
             least.select("u", "m")).distinct()
-        now = settle(small, "edges")
+        now = _settled(small, "edges")
         sums = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if sums == before:
             break
         before = sums
-    own = now.select("b", "b").distinct()
-    return now.union(own).toDF("node", "component").distinct()
+    # stars now: each node has one edge, to the least of its component
+    return now.union(now.select("b", "b").distinct()).toDF("node", "component")
+
+
+def _settled(df: DataFrame, purpose: str) -> DataFrame:
+    """A narrow table, stored by as many tasks as there are cores: with few rows for each partition, their number is the cost."""
+    return settle(df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism)), purpose)
 
 
 def node_filter(nodes: DataFrame) -> bytes:
@@ -101,13 +107,13 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
     # keys with the same members say the same: of copies that share hundreds of tokens a few groups are left
     signs = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"s{k}") for k in (1, 2)]
     groups = index.groupBy("ord", "key").agg(*signs, F.count("*").alias("m"))
-    unlike = settle(groups.where("m > 1").groupBy("ord", "s1", "s2", "m").agg(F.min("key").alias("key")).select("ord", "key"), "keys")
-    live = settle(index.join(unlike, ["ord", "key"], "left_semi").withColumn("comp", F.col("node")), "index")
+    unlike = _settled(groups.where("m > 1").groupBy("ord", "s1", "s2", "m").agg(F.min("key").alias("key")).select("ord", "key"), "keys")
+    live = _settled(index.join(unlike, ["ord", "key"], "left_semi").withColumn("comp", F.col("node")), "index")
     done, found = None, None
     for turn in range(ROUNDS + 1):
         groups = live.groupBy("ord", "key", "comp").count().groupBy("ord", "key").agg(
             F.count("*").alias("comps"), F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same"))
-        open_keys = settle(groups.where("comps > 1"), "keys")
+        open_keys = _settled(groups.where("comps > 1"), "keys")
         left = open_keys.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not left["rows"]:
             break
@@ -131,7 +137,7 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
             F.count_distinct("ord").alias("k")).where(F.col("k") == orders).drop("k")
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        compared = settle(compare_sets(pairs, sets, percent), "compared")
+        compared = _settled(compare_sets(pairs, sets, percent), "compared")
         done = compared.select("a", "b") if done is None else done.unionByName(compared.select("a", "b"))
         fresh = compared.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         if fresh.take(1):
@@ -142,8 +148,8 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
                 old = found.join(named.withColumnRenamed("component", "root"), F.col("component") == F.col("comp"), "left").select(
                     "node", F.coalesce("root", "component").alias("component"))
                 roots = roots.join(found.select("node"), "node", "left_anti").unionByName(old)
-            found = settle(roots, "components")
+            found = _settled(roots, "components")
         if last:
             break
-        live = settle(live, "index")
+        live = _settled(live, "index")
     return found if found is not None else index.select("node", F.col("node").alias("component")).limit(0)
