@@ -54,7 +54,7 @@ def test_outliers_of_a_group(spark):
 
 
 def test_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     found = toxicity.toxicity(docs, labels)
     joined = found.join(labels, "doc_id").where("held_out and quality = 1").collect()
