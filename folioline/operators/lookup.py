@@ -26,10 +26,12 @@ def should_process(landed: Column, known: Column) -> Column:
 def pending_links(links: DataFrame, landed: DataFrame, known: DataFrame, path_col: str = "path") -> DataFrame:
     """Links still to process: ``links`` less the paths that have landed and are known.
 
-    All three sides are partitioned by path once; the semi join's result is already placed
-    for the anti join.
+    ``links`` should be a stored table: while it is small it is broadcast, and the two large sides are
+    only scanned; what is joined afterwards is no larger than ``links``.
     """
-    done = landed.select(path_col).join(known.select(path_col), path_col, "left_semi")
+    asked = links.select(path_col)
+    here = landed.select(path_col).join(asked, path_col, "left_semi")
+    done = known.select(path_col).join(asked, path_col, "left_semi").join(here, path_col, "left_semi")
     return links.join(done, path_col, "left_anti")
 
 

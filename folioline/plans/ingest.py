@@ -17,6 +17,7 @@ from folioline.operators.lookup import one_link_per_path, pending_links, with_pa
 from folioline.operators.pages import number_pages
 from folioline.operators.upsert import instant
 from folioline.functions.vectors import has_width
+from folioline.session import settle
 from folioline.sinks.blobs import landed_paths, read_batch, save_blobs
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
@@ -60,7 +61,7 @@ class Ingest:
         pathed, _ = with_path(links, **(self.path_args or {}))
         landed = landed_paths(self.spark, self.blob_root, other_than=batch_id)
         known = self.store.documents().select(F.col("file_path").alias("path"))
-        return pending_links(one_link_per_path(pathed), landed, known)
+        return pending_links(settle(one_link_per_path(pathed), "asked"), landed, known)
 
     def run(self, links: DataFrame, batch_id: int, now: Column | datetime) -> int:
         """Process one batch of ``(link)``; the version of the tables afterwards.

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from folioline.fixed import FETCH_SLOTS
 from folioline.session import ship_package
 
+# Contents go on as soon as so many bytes are there.
+PART_BYTES = 32 << 20
+
 
 def url_fetcher(timeout: float = 60.0) -> Callable[[str], bytes]:
     """Fetcher that opens the link; any status but 200 is an error."""
@@ -28,18 +31,18 @@ def url_fetcher(timeout: float = 60.0) -> Callable[[str], bytes]:
 
 def fetch(
     links: DataFrame, fetcher: Callable[[str], bytes], slots: int = FETCH_SLOTS, link_col: str = "link",
-    cluster_by: str | None = None,
+    cluster_by: str | None = None, most_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Add ``content``, ``error`` and ``seconds``; a link that fails is a row with an error.
 
     ``slots`` is the number of tasks, hence of requests at a time: the politeness cap. With ``cluster_by`` a
     task gets a range of that column, so that what it fetches can be written where it belongs
-    without a shuffle of the contents.
+    without a shuffle of the contents. A task holds ``most_bytes`` of contents and one file more at a time.
     """
 
     def run(batches):
         for batch in batches:
-            contents, errors, seconds = [], [], []
+            begin, contents, errors, seconds = 0, [], [], []
             for link in batch[link_col]:
                 start = time.monotonic()
                 try:
@@ -49,11 +52,15 @@ def fetch(
                     contents.append(None)
                     errors.append(str(error) or type(error).__name__)
                 seconds.append(time.monotonic() - start)
-            out = batch.copy()
-            out["content"] = pd.Series(contents, dtype=object, index=out.index)
-            out["error"] = pd.Series(errors, dtype=object, index=out.index)
-            out["seconds"] = seconds
-            yield out
+                if sum(len(c) for c in contents if c) >= most_bytes:
+                    yield fetched(batch.iloc[begin:begin + len(contents)], contents, errors, seconds)
+                    begin, contents, errors, seconds = begin + len(contents), [], [], []
+            if contents:
+                yield fetched(batch.iloc[begin:], contents, errors, seconds)
+
+    def fetched(links, contents, errors, seconds):
+        return links.assign(content=pd.Series(contents, dtype=object, index=links.index),
+                            error=pd.Series(errors, dtype=object, index=links.index), seconds=seconds)
 
     ship_package(links.sparkSession)
     schema = T.StructType(links.schema.fields + [

@@ -75,3 +75,17 @@ def test_strict_commit_refuses_repeats(spark, tmp_path):
     with pytest.raises(ConflictError):
         store.commit(one, pages, 0, now, mode="strict")
     assert store.version() == 0
+
+
+def test_fetch_in_parts(spark):
+    from folioline.sources.fetch import fetch
+
+    def fetcher(link):
+        if link.endswith("7"):
+            raise OSError("gone")
+        return link.encode() * 1000
+
+    links = spark.createDataFrame([(f"l{i}", i) for i in range(40)], "link string, n long")
+    found = fetch(links, fetcher, slots=2, most_bytes=5000).collect()
+    assert sorted(r.n for r in found) == list(range(40))
+    assert all((r.error == "gone" and r.content is None) if r.link.endswith("7") else r.content == r.link.encode() * 1000 for r in found)
