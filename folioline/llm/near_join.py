@@ -143,7 +143,7 @@ def _frequent_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, items) of the ``wanted`` nodes."""
+    """(node, items, profile) of the ``wanted`` nodes."""
     bits = linking.node_filter(wanted)
     shared = wanted.sparkSession.sparkContext.broadcast(bits)
 
@@ -157,11 +157,12 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     if len(s) and (node := shingles.digest(s)) not in known and linking.in_filter(shared.value, node):
                         known.add(node)
                         nodes.append(node)
-                        items.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(items, pa.binary())], ["node", "items"])
+                        items.append(s)
+                yield linking.set_rows(nodes, items)
 
-    found = docs.select(F.col(text).alias("_text")).mapInArrow(run, "node long, items binary")
-    return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items"))
+    found = docs.select(F.col(text).alias("_text")).mapInArrow(run, linking.SET_ROWS)
+    return found.join(wanted, "node", "left_semi").groupBy("node").agg(
+        F.first("items").alias("items"), F.first("profile").alias("profile"))
 
 
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:

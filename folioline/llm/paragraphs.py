@@ -94,7 +94,7 @@ def _bands(docs: DataFrame, text: str, groups: int) -> DataFrame:
 
 
 def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, items) of the ``wanted`` nodes."""
+    """(node, items, profile) of the ``wanted`` nodes."""
     bits = wanted.sparkSession.sparkContext.broadcast(linking.node_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,11 +107,12 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     if (node := shingles.digest(s)) not in known and linking.in_filter(bits.value, node):
                         known.add(node)
                         nodes.append(node)
-                        items.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(items, pa.binary())], ["node", "items"])
+                        items.append(s)
+                yield linking.set_rows(nodes, items)
 
-    found = docs.select(F.col(text).alias("_text")).mapInArrow(run, "node long, items binary")
-    return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items"))
+    found = docs.select(F.col(text).alias("_text")).mapInArrow(run, linking.SET_ROWS)
+    return found.join(wanted, "node", "left_semi").groupBy("node").agg(
+        F.first("items").alias("items"), F.first("profile").alias("profile"))
 
 
 def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
