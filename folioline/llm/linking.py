@@ -9,6 +9,7 @@ is either compared or known to be connected, and a group of n copies costs about
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -71,15 +72,15 @@ def in_filter(bits: bytes, node: int) -> bool:
     return bits[place >> 3] >> (place & 7) & 1 == 1
 
 
-SET_ROWS = "node long, items binary, profile array<byte>"
+SET_ROWS = "node long, items binary, sketch array<long>"
 
 
 def set_rows(nodes: list[int], items: list[np.ndarray]) -> pa.RecordBatch:
     """Sets as rows of :data:`SET_ROWS`."""
-    cells = np.frombuffer(b"".join(shingles.profile(s) for s in items), np.int8)
-    profiles = pa.ListArray.from_arrays(pa.array(np.arange(len(items) + 1, dtype=np.int32) * shingles.CELLS), pa.array(cells, pa.int8()))
+    words = np.frombuffer(b"".join(shingles.odd_sketch(s) for s in items), np.int64)
+    sketches = pa.ListArray.from_arrays(pa.array(np.arange(len(items) + 1, dtype=np.int32) * shingles.SKETCH), pa.array(words, pa.int64()))
     return pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in items], pa.binary()), profiles], ["node", "items", "profile"])
+        [pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in items], pa.binary()), sketches], ["node", "items", "sketch"])
 
 
 def compare_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -111,11 +112,11 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
     """(node, component) of all nodes that link with another.
 
     ``index (ord, key, node, n)``: pairs to be compared share a key under each of the ``orders``; ``n`` is the size of the
-    node's set, ``sets`` as in :func:`compare_sets` with the ``profile`` of each.
+    node's set, ``sets`` as in :func:`compare_sets` with the ``sketch`` of each.
     """
-    def fit(n: Column, n2: Column, profile: Column, profile2: Column) -> Column:
+    def fit(n: Column, n2: Column, sketch: Column, sketch2: Column) -> Column:
         """By size, and as members of one set only are at most (100 - percent) / (100 + percent) of all of both."""
-        unlike = F.aggregate(F.zip_with(profile, profile2, lambda a, b: F.abs(a - b)), F.lit(0), lambda s, d: s + d)
+        unlike = reduce(lambda a, b: a + b, [F.bit_count(sketch[i].bitwiseXOR(sketch2[i])) for i in range(shingles.SKETCH)])
         return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & ((100 + percent) * unlike <= (100 - percent) * (n + n2))
 
     # keys with the same members say the same: of copies that share hundreds of tokens a few groups are left
@@ -123,7 +124,7 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
     groups = index.groupBy("ord", "key").agg(*signs, F.count("*").alias("m"))
     unlike = _settled(groups.where("m > 1").groupBy("ord", "s1", "s2", "m").agg(F.min("key").alias("key")).select("ord", "key"), "keys")
     live = index.join(unlike, ["ord", "key"], "left_semi").withColumn("comp", F.col("node"))
-    live = _settled(live.join(sets.select("node", "profile"), "node"), "index")
+    live = _settled(live.join(sets.select("node", "sketch"), "node"), "index")
     done, found = None, None
     for turn in range(ROUNDS + 1):
         groups = live.groupBy("ord", "key", "comp").count().groupBy("ord", "key").agg(
@@ -135,16 +136,16 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
         live = live.join(open_keys.select("ord", "key"), ["ord", "key"], "left_semi")
         last = turn == ROUNDS or left["pairs"] <= FEW * left["rows"]
         if last:
-            other = live.select("ord", "key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("profile").alias("profile2"))
+            other = live.select("ord", "key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("sketch").alias("sketch2"))
             met = live.join(other, ["ord", "key"]).where(
-                (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & fit(*[F.col(c) for c in ("n", "n2", "profile", "profile2")]))
+                (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & fit(*[F.col(c) for c in ("n", "n2", "sketch", "sketch2")]))
         else:
             # a component drawn by lot leads, so that small ones have their turn beside one very large one
             lot = F.struct(F.xxhash64("comp", F.lit(turn)).alias("l"), F.xxhash64("node", F.lit(turn)).alias("k"),
-                           F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("profile").alias("profile2"))
-            leaders = live.groupBy("ord", "key").agg(F.min(lot).alias("s")).select("ord", "key", "s.node2", "s.n2", "s.comp2", "s.profile2")
+                           F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("sketch").alias("sketch2"))
+            leaders = live.groupBy("ord", "key").agg(F.min(lot).alias("s")).select("ord", "key", "s.node2", "s.n2", "s.comp2", "s.sketch2")
             met = live.join(leaders, ["ord", "key"]).where(
-                (F.col("comp") != F.col("comp2")) & fit(*[F.col(c) for c in ("n", "n2", "profile", "profile2")]))
+                (F.col("comp") != F.col("comp2")) & fit(*[F.col(c) for c in ("n", "n2", "sketch", "sketch2")]))
         first, second = F.col("node") < F.col("node2"), F.col("node") >= F.col("node2")
         pairs = met.select(
             F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), "ord",

@@ -143,7 +143,7 @@ def _frequent_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, items, profile) of the ``wanted`` nodes."""
+    """(node, items, sketch) of the ``wanted`` nodes."""
     bits = linking.node_filter(wanted)
     shared = wanted.sparkSession.sparkContext.broadcast(bits)
 
@@ -162,7 +162,7 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
     found = docs.select(F.col(text).alias("_text")).mapInArrow(run, linking.SET_ROWS)
     return found.join(wanted, "node", "left_semi").groupBy("node").agg(
-        F.first("items").alias("items"), F.first("profile").alias("profile"))
+        F.first("items").alias("items"), F.first("sketch").alias("sketch"))
 
 
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:

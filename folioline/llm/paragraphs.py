@@ -94,7 +94,7 @@ def _bands(docs: DataFrame, text: str, groups: int) -> DataFrame:
 
 
 def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, items, profile) of the ``wanted`` nodes."""
+    """(node, items, sketch) of the ``wanted`` nodes."""
     bits = wanted.sparkSession.sparkContext.broadcast(linking.node_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +112,7 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
     found = docs.select(F.col(text).alias("_text")).mapInArrow(run, linking.SET_ROWS)
     return found.join(wanted, "node", "left_semi").groupBy("node").agg(
-        F.first("items").alias("items"), F.first("profile").alias("profile"))
+        F.first("items").alias("items"), F.first("sketch").alias("sketch"))
 
 
 def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

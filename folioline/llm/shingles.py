@@ -8,7 +8,8 @@ from folioline.llm import arrays
 
 WORDS = 5
 PERCENT = 80
-CELLS = 128
+#: 64-bit words of a set's odd sketch.
+SKETCH = 16
 
 
 def word_hashes(t: arrays.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -33,12 +34,13 @@ def sets_of(words: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def profile(items: np.ndarray) -> bytes:
-    """How many members of a set fall to each of :data:`CELLS` cells by their hash, at most 127 each.
+def odd_sketch(items: np.ndarray) -> bytes:
+    """A bit for each cell of a hash: whether the set has an odd number of members in it.
 
-    Sets of which the profiles differ by more, summed over the cells, than two sets may that are similar, are not.
+    Two sketches differ in at most as many bits as there are members that only one of the sets has.
     """
-    return np.minimum(np.bincount((items >> np.uint64(20)).astype(np.int64) % CELLS, minlength=CELLS), 127).astype(np.int8).tobytes()
+    cells = np.bincount((items >> np.uint64(20)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH)
+    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
 
 
 def digest(items: np.ndarray) -> int:
