@@ -7,8 +7,8 @@ anchor stands for a run of windows, about one for each 18 bytes. Suffixes that b
 buckets by the anchor, and one bucket at a time is sorted:
 
 * runs that are equal as a whole, bytes and all, are settled at once: every document but the first loses them;
-* the other runs of an anchor (ties of the anchor that break further on, at the borders of a shared passage) fetch their bytes, one
-  document for each unlike run, and are sorted window by window.
+* the other runs of an anchor (ties of the anchor that break further on, at the borders of a shared passage) fetch their bytes, from
+  the first document of each unlike run wherever it holds the run, and are sorted window by window.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def _pack_runs(buckets: int):
 
 
 def _settle_bucket(table: pa.Table) -> pa.Table:
-    """Of one bucket: runs that an earlier document has as a whole, and one document for each run to be looked at closely."""
+    """Of one bucket: runs that an earlier document has as a whole, and the runs of first documents to be looked at closely."""
     rows = table.to_pydict()
     anchor = np.concatenate([_joined(x, 5) for x in rows["anchors"]])
     whole = np.concatenate([_joined(x, 6) for x in rows["wholes"]])
@@ -126,11 +126,12 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
     anchors, wholes = np.flatnonzero(new_anchor), np.flatnonzero(new_whole)
     first_doc = np.repeat(doc[wholes], np.diff(np.append(wholes, len(doc))))
     removed = doc > first_doc
-    # anchors with several unlike runs, in several documents: the first occurrence of each run
+    # anchors with several unlike runs, in several documents: every occurrence in the first document of a run, as each may lose
+    # windows to an earlier document; the least document of an anchor loses none, so there one stands for all
     sizes = np.diff(np.append(anchors, len(doc)))
     least, most = np.minimum.reduceat(doc, anchors), np.maximum.reduceat(doc, anchors)
     unlike = np.add.reduceat(new_whole.astype(np.int64), anchors)
-    close = np.repeat((unlike > 1) & (least < most), sizes) & new_whole
+    close = np.repeat((unlike > 1) & (least < most), sizes) & ~removed & (new_whole | (doc > np.repeat(least, sizes)))
     pick = np.concatenate([np.flatnonzero(removed), np.flatnonzero(close)])
     kind = np.concatenate([np.full(removed.sum(), REMOVED, np.int8), np.full(close.sum(), UNSETTLED, np.int8)])
     return pa.Table.from_arrays([pa.array(kind), pa.array(doc[pick]), pa.array(key[pick]), pa.array(start[pick]),

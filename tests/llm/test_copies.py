@@ -173,6 +173,26 @@ def test_removal_report(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == _removal(rows)[0]
 
 
+def test_removal_of_runs_that_a_document_repeats(spark):
+    """A passage twice or more in equal surroundings, of which an earlier document shares only a part."""
+    rng = random.Random(12)
+
+    def some(n):
+        return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+    rows = []
+    for i in range(20):
+        passage, around = some(rng.randint(12, 30)), (some(10), some(10))
+        again = f"{around[0]} {passage} {around[1]} "
+        rows.append((10 * i, f"{some(10)} {passage} {some(10)}"))
+        rows.append((10 * i + 1, again * rng.randint(2, 4) + some(5)))
+        rows.append((rng.choice([10 * i + 1, None]), some(3) + f" {again}"))  # another row of the id, or of none
+        rows.append((None, some(4) + f" {again}{some(2)} {again}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = substrings.removal_report(docs)
+    assert sorted(map(tuple, found.collect()), key=repr) == _removal(rows)[0]
+
+
 def test_remove_repeats(spark):
     rows = _some_rows()
     docs = spark.createDataFrame(rows, DOCS)
