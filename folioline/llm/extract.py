@@ -3,7 +3,8 @@
 A page becomes blocks of text, cut at block elements. What stands in parts that are never text (menus, scripts,
 forms, notices, comments, ...) is bad. The first pass decides the rest by length, link density and the
 density of stop words; short blocks and those in between stay open. In the second pass they inherit from the nearest
-decided neighbours. Where a page marks its article, only the blocks in it are candidates.
+decided neighbours. Where a page marks its article, only the blocks in it are candidates, unless good blocks stand outside
+of it alone. Articles within parts that class, id or role bar are barred with them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ RAW = frozenset("title script style textarea xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never opened or closed by accident: an unclosed barred element ends where one of these begins or its parent ends.
 LANDMARKS = frozenset("article main".split())
+#: Barred elements in which an article is not the page's, closed or not.
+NEVER_HOLD = frozenset("aside dialog template noscript svg iframe object".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BARRED_NAMES = frozenset("""ad ads advert advertisement advertising adverts adbox banner banners breadcrumb breadcrumbs comment
 comments commentlist consent cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter
@@ -86,6 +89,9 @@ def _blocks(page: str) -> tuple[list[_Block], list[bool], bool]:
     inside: list[bool] = []
     opened: list[str] = []       # landmarks that are open
     barred, depth = "", 0        # the barred element that is open, and how often its name is
+    barred_at = -1               # where it begins, if its element barred it; -1 if its attributes did
+    held: list[str] = []         # landmarks that are open within the barred element
+    closed: dict[str, set[int]] = {}
     only_headings = 0            # depth within headers of an article
     heading, link = False, 0
     current: _Block | None = None
@@ -132,25 +138,32 @@ def _blocks(page: str) -> tuple[list[_Block], list[bool], bool]:
         if name in BLOCKS:
             current = None
         if name in LANDMARKS:
-            found_landmark |= not barred or barred not in LANDMARKS
             if closing:
-                if name in opened:
+                if barred and name in held:
+                    del held[len(held) - 1 - held[::-1].index(name):]
+                elif barred in LANDMARKS and name == barred:
+                    barred = ""
+                elif name in opened:
                     del opened[len(opened) - 1 - opened[::-1].index(name):]
-                barred, only_headings = "", 0
-            elif barred and not _may_hold_article(barred):
-                pass
+                    barred, only_headings, held = "", 0, []
+            elif barred and not _ends_at_article(page, barred, barred_at, closed):
+                held.append(name)
+            elif "article" in opened and _barred_by_attributes("", token[3]):
+                # a comment or the like on the article around it
+                barred, depth, barred_at, held, link = name, 1, -1, [], 0
             else:
-                barred, only_headings = "", 0
+                found_landmark = True
+                barred, only_headings, held = "", 0, []
                 opened.append(name)
             continue
         if name == "body":
-            barred, depth = "", 0
+            barred, depth, held = "", 0, []
             continue
         if barred:
             if name == barred:
                 depth += -1 if closing else 1
                 if depth == 0:
-                    barred = ""
+                    barred, held = "", []
             continue
         if name == "header" and opened:
             only_headings = max(0, only_headings + (-1 if closing else 1))
@@ -161,16 +174,34 @@ def _blocks(page: str) -> tuple[list[_Block], list[bool], bool]:
             link = 0 if closing else 1
         if closing or name in VOID:
             continue
-        if name in BARRED or name == "header" or (token[3].strip() and _barred_by_attributes(name, token[3])):
+        by_attributes = bool(token[3].strip()) and _barred_by_attributes(name, token[3])
+        if name in BARRED or name == "header" or by_attributes:
             if not token[3].rstrip().endswith("/"):
-                barred, depth = name, 1
+                barred, depth, barred_at, held = name, 1, -1 if by_attributes else start, []
                 link = 0
     return blocks, inside, found_landmark
 
 
-def _may_hold_article(barred: str) -> bool:
-    """Menus and the like that were never closed end at an article; forms and notices may hold one."""
-    return barred not in ("aside", "template", "noscript", "svg", "iframe", "object")
+def _ends_at_article(page: str, barred: str, at: int, closed: dict[str, set[int]]) -> bool:
+    """Menus and the like that are never closed end at an article, and a form may hold one; what attributes bar, never does."""
+    if at < 0 or barred in NEVER_HOLD:
+        return False
+    if barred == "form":
+        return True
+    if barred not in closed:
+        closed[barred] = _closed(page, barred)
+    return at not in closed[barred]
+
+
+def _closed(page: str, name: str) -> set[int]:
+    """Where the elements of a name begin that have an end."""
+    opened, found = [], set()
+    for tag in re.finditer(rf"<(/?){name}(?=[\s/>])", page, re.I):
+        if not tag[1]:
+            opened.append(tag.start())
+        elif opened:
+            found.add(opened.pop())
+    return found
 
 
 def main_text(page: str | None) -> str:
@@ -178,13 +209,16 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks, inside, marked = _blocks(page)
-    if marked and any(inside):
-        blocks = [b for b, i in zip(blocks, inside) if i]
-    else:
-        marked = False
-    kept = [(b, t) for b in blocks if (t := b.text())]
-    labels = [_first_pass(b, t, marked) for b, t in kept]
-    return "\n\n".join(t for (b, t), good in zip(kept, _second_pass(labels)) if good)
+    kept = [(b, t, i) for b, i in zip(blocks, inside) if (t := b.text())]
+    marked = marked and any(inside)
+    if marked:
+        own = [(_first_pass(b, t, i), i) for b, t, i in kept]
+        # teasers and comments are marked as articles too
+        marked = (GOOD, True) in own or (GOOD, False) not in own
+    if marked:
+        kept = [x for x in kept if x[2]]
+    labels = [_first_pass(b, t, marked) for b, t, _ in kept]
+    return "\n\n".join(t for (_, t, _), good in zip(kept, _second_pass(labels)) if good)
 
 
 def _first_pass(block: _Block, text: str, marked: bool):

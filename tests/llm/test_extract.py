@@ -17,6 +17,16 @@ PROSE = "This is a text that was written for the page and it is long enough to b
     ('<article><p title="a > b">x</p></article>', "x"),
     (f"<body><h1>T</h1><p>{PROSE}</p><p>Short.</p><ul><li><a href=1>{'link ' * 30}</a></li></ul></body>", f"T\n\n{PROSE}\n\nShort."),
     (f"<body><ul><li><a href=1>{'link ' * 30}</a><li>menu</ul><div>x</div><div>y</div><p>{PROSE}</p></body>", f"x\n\ny\n\n{PROSE}"),
+    # articles that are not the page's: comments, teasers, parts of closed menus
+    ("<div class=content><p>main text</p></div><section class=comments><article>nice post</article><p>more</p></section>", "main text"),
+    (f"<div><p>{PROSE}</p></div><section id=related><article><p>{PROSE} Too.</p></article></section><p>Last.</p>", f"{PROSE}\n\nLast."),
+    (f"<div><p>{PROSE}</p></div><ul><li role=menu><article>a</article></li></ul>", PROSE),
+    ("<article><p>x</p><div class=comments><article>nice</article><article>so nice</article>more</div><p>y</p></article>", "x\n\ny"),
+    ("<article><p>x</p><article class='comment'><p>nice</p></article><p>y</p></article>", "x\n\ny"),
+    (f"<div><p>{PROSE}</p></div><article>Read on</article>", f"{PROSE}\n\nRead on"),
+    ("<nav><article>teaser</article></nav><article><p>x</p></article><footer><article>t</article></footer>", "x"),
+    ("<form><nav>menu</nav><article><p>x</p></article></form>", "x"),
+    ("<div class=sidebar><article>t</article></div><main><article class='post comments-open'><p>x</p></article></main>", "x"),
     ("<title>t</title><p>&#233;&eacute;&#x65E5;</p>", "éé日"),
 ])
 def test_page(page, text):
