@@ -1,6 +1,6 @@
 """Near copies of paragraphs: MinHash bands, exact Jaccard, removal by components.
 
-Paragraphs are lines with enough words. Equal ones are one node from the start. The minima of 30 hashes over a node's five-word
+Paragraphs are lines with a word; one of fewer than five words is one shingle as a whole. Equal ones are one node from the start. The minima of 30 hashes over a node's five-word
 shingles make ten bands of three; nodes that share a band are compared on their whole sets. At a similarity of 0.8 a pair
 shares a band with probability 1 - (1 - 0.8**3)**10 = 0.9992. Of each component the first paragraph stays.
 """
@@ -18,8 +18,10 @@ from folioline.llm.rows import packed, same, text_key
 from folioline.llm.near_join import GROUPS_PER_PARTITION, _shared_tokens
 from folioline.session import settle, ship_package
 
-#: Shorter lines (headings, list items) are left alone.
-MIN_WORDS = 10
+#: Lines of fewer words, those without any, are no paragraphs.
+MIN_WORDS = 1
+#: Sets of fewer shingles are similar to equal sets only, which are the same node, so they need no bands.
+MIN_BANDED = shingles.PERCENT // (100 - shingles.PERCENT)
 BANDS, ROWS = 10, 3
 _SEEDS = arrays.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
@@ -39,8 +41,8 @@ def _paragraphs(t: arrays.Texts):
 
 
 def _sets(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
-    windows = arrays.window_hashes(hashes, shingles.WORDS)
-    return [np.unique(windows[a:b - shingles.WORDS + 1]) for a, b in zip(first.tolist(), last.tolist())]
+    # every word is in a paragraph, so each begins where the one before it ends
+    return shingles.sets_of(hashes, np.append(first, last[-1:]))
 
 
 def _digests(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -69,7 +71,7 @@ def _bands(docs: DataFrame, text: str, groups: int) -> DataFrame:
                 hashes, first, last, _, _ = _paragraphs(t)
                 sets, nodes = [], []
                 for s in _sets(hashes, first, last):
-                    if (node := shingles.digest(s)) not in known:
+                    if len(s) >= MIN_BANDED and (node := shingles.digest(s)) not in known:
                         known.add(node)
                         sets.append(s)
                         nodes.append(node)

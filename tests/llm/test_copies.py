@@ -258,6 +258,18 @@ def test_paragraphs(spark):
         assert texts[i] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in expected.get(i, []))
 
 
+def test_short_paragraphs(spark):
+    """Lines of one to nine words: copies in other case and spacing, near copies by four shingles of five, and unlike ones."""
+    nine = "one two three four five six seven eight nine"
+    lines = ["Home", "a b c d", "a b c d e", "a b c d e f g", nine, "", " ", "-"]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(x.upper().replace(" ", "  ") for x in lines)), (3, "Home page\na b c d f\nHome\nhome"),
+            (4, "x " + nine[4:] + "\n" + nine[:-5] + "\none two three four five six seven x nine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_paragraphs, r.removed) for r in paragraphs.repeated_paragraphs(docs).collect()}
+    # the first eight words have four of the five shingles
+    assert got == {1: (6, []), 2: (6, [0, 1, 2, 3, 4, 7]), 3: (4, [2, 3]), 4: (3, [1])}
+
+
 def test_paragraphs_messy(spark):
     rows = messy_rows()
     docs = spark.createDataFrame(rows, DOCS)
