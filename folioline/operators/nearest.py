@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from folioline.operators.checks import check_dim
 from folioline.operators.ranking import SLICE_ROWS, Best, blocks, column_values, top_k
 from folioline.session import ship_package
 
@@ -45,6 +46,34 @@ def _compare(best: Best, ids: pa.Array, vectors: pa.Array, queries: np.ndarray)
         best.add(column_values(ids.slice(start, SLICE_ROWS)), units @ queries.T)
 
 
+def _searched_width(pages: DataFrame, queries: DataFrame, vec_col: str, query_vec_col: str) -> int:
+    """The width of the queries; if they have several, the one of most pages, of equals the one of most queries."""
+    sizes = queries.where(F.size(query_vec_col) > 0).groupBy(F.size(query_vec_col).alias("width"))
+    asked = {r["width"]: r["n"] for r in sizes.agg(F.count("*").alias("n")).collect()}
+    if len(asked) < 2:
+        return next(iter(asked), 0)
+    found = pages.groupBy(F.size(vec_col).alias("width")).agg(F.count("*").alias("n"))
+    stored = {r["width"]: r["n"] for r in found.collect()}
+    return max(asked, key=lambda w: (stored.get(w, 0), asked[w], w))
+
+
+def knn_rejects(
+    pages: DataFrame,
+    queries: DataFrame,
+    width: int | None = None,
+    id_col: str = "id",
+    vec_col: str = "embeddings",
+    query_id_col: str = "query_id",
+    query_vec_col: str = "vector",
+) -> DataFrame:
+    """``(side, id, width)`` of the pages and queries that :func:`knn_cosine` leaves out for their width; NULL vectors have none."""
+    width = width or _searched_width(pages, queries, vec_col, query_vec_col)
+    odd = [check_dim(df, vec, width)[1].select(
+        F.lit(side).alias("side"), F.col(key).cast("string").alias("id"), F.when(F.col(vec).isNotNull(), F.size(vec)).alias("width"))
+        for side, df, key, vec in (("page", pages, id_col, vec_col), ("query", queries, query_id_col, query_vec_col))]
+    return odd[0].unionByName(odd[1])
+
+
 def knn_cosine(
     pages: DataFrame,
     queries: DataFrame,
@@ -57,17 +86,19 @@ def knn_cosine(
     method: str = "auto",
     broadcast_queries: int = BROADCAST_QUERIES,
     block_rows: int = BLOCK_ROWS,
+    width: int | None = None,
 ) -> DataFrame:
     """``(query_id, id, similarity, rank)``: the ``k`` nearest pages of each query.
 
     ``auto`` broadcasts the queries after counting that there are at most ``broadcast_queries``
     of them; beyond, blocks of pages meet blocks of queries by shuffle. Both are exact. A vector
     that is NULL or all zero has no direction and is nobody's neighbour; nor is one without id, or of another width
-    than the widest query's. :func:`folioline.operators.checks.check_dim` tells such vectors apart.
+    than ``width``: by default the queries' own or, if theirs differ, the one of most pages. :func:`knn_rejects` gives
+    such vectors back.
     """
     ship_package(pages.sparkSession)
     queries = queries.where(F.col(query_id_col).isNotNull() & F.col(query_vec_col).isNotNull()).select(query_id_col, query_vec_col)
-    width = queries.agg(F.max(F.size(query_vec_col)).alias("width")).first()["width"] or 0
+    width = width or _searched_width(pages, queries, vec_col, query_vec_col)
     queries = queries.where(F.size(query_vec_col) == width)
     pages = pages.where(F.col(id_col).isNotNull() & (F.size(vec_col) == width)).select(id_col, vec_col)
     # one more is kept where the query itself may be among the best

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioline.functions import html as H, urls as U
-from folioline.operators.nearest import knn_cosine
+from folioline.operators.nearest import knn_cosine, knn_rejects
 from folioline.operators.search import bm25_topk
 from folioline.plans.crawl import next_listings
 from folioline.sinks.store import PageStore
@@ -44,6 +44,22 @@ def test_knn_routes(spark, rows, id_type):
     assert found[0] == found[1] and len(found[0]) == 4
 
 
+@pytest.mark.parametrize("method, most", [("broadcast", 10), ("blocks", 1)])
+def test_knn_with_malformed_vectors(spark, rows, method, most):
+    vectors = [("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [0.6, 0.8]), ("wide", [1.0, 0.0, 0.0]), ("wider", [1.0] * 9), ("thin", [1.0])]
+    table = spark.createDataFrame(vectors, "id string, embeddings array<double>")
+    queries = table.toDF("query_id", "vector")
+    limits = {"method": method, "broadcast_queries": most, "block_rows": 2}
+    found = rows(knn_cosine(table, queries, 1, exclude_self=True, **limits), "query_id", "id")
+    assert found == [("a", "c"), ("b", "c"), ("c", "b")]
+    # malformed queries in the majority, and a width that is given
+    odd = queries.where("query_id in ('a', 'wide', 'wider')").union(queries.where("query_id = 'wider'"))
+    assert rows(knn_cosine(table, odd, 1, **limits), "query_id", "id") == [("a", "a")]
+    assert rows(knn_cosine(table, odd, 1, width=3, **limits), "query_id", "id") == [("wide", "wide")]
+    assert rows(knn_rejects(table, odd)) == [
+        ("page", "thin", 1), ("page", "wide", 3), ("page", "wider", 9), ("query", "wide", 3), ("query", "wider", 9), ("query", "wider", 9)]
+
+
 def test_table_row_ends(spark):
     page = ("<table><tr><td>X. Zivilsenat</td><td>none</td></tr></table><p><a type='application/pdf' href='imprint.pdf'>"
             "<table><tr><td>I. Zivilsenat</td><td><a title='a > b' type='application/pdf' href='x.pdf'>x</a></table>")
