@@ -31,7 +31,8 @@ def benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, ids, round_trip): the texts as token ids, and whether these decode to the text."""
-    return pieces.encode_and_check(docs, pieces.load_vocabulary(PIECES), keep=["doc_id", "lang", "source"])
+    return pieces.encode_and_check(docs, pieces.load_vocabulary(PIECES), keep=["doc_id", "lang", "source"],
+                                   marks_as_spaces=False)
 
 
 STAGES = [

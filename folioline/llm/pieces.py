@@ -359,9 +359,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: li
     return _in_batches(docs, vocabulary, text, keep, "ids array<int>", _encode_run)
 
 
-def encode_and_check(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """As :func:`encode`, plus ``round_trip``: whether the ids decode to the text."""
-    return _in_batches(docs, vocabulary, text, keep, "ids array<int>, round_trip boolean", _encode_and_decode_run)
+def encode_and_check(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list[str] | None = None,
+                     marks_as_spaces: bool = True) -> DataFrame:
+    """As :func:`encode`, plus ``round_trip``: whether the ids decode to the text, with its marks as spaces.
+
+    Without ``marks_as_spaces`` to the text as it is, which is false for each text with a mark.
+    """
+    if marks_as_spaces:
+        return _in_batches(docs, vocabulary, text, keep, "ids array<int>, round_trip boolean", _encode_and_decode_run)
+    keep = keep or ["doc_id"]
+    names = [f"_keep{i}" for i in range(len(keep))]
+    marked = F.coalesce(F.contains(F.col(text), F.lit(MARK)), F.lit(False))
+    renamed = docs.select(F.col(text).alias("_text"), marked.alias("_marked"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    made = encode_and_check(renamed, vocabulary, "_text", ["_marked", *names])
+    return made.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "ids",
+                       (F.col("round_trip") & ~F.col("_marked")).alias("round_trip"))
 
 
 def _encode_run(encoder: Encoder, decoder: Decoder, t: arrays.Texts) -> list[pa.Array]:

@@ -73,7 +73,7 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pieces.encode_and_check(docs, pieces.load_vocabulary(PIECES))
+    encoded = pieces.encode_and_check(docs, pieces.load_vocabulary(PIECES), marks_as_spaces=False)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "round_trip")
 

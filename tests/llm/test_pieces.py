@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 
 from folioline.llm import arrays, pieces
-from folioline.llm.queries import PIECES
+from folioline.llm.queries import PIECES, QUERIES
 from tests.llm.fixtures import DOCS, messy_rows, texts
 
 
@@ -78,3 +78,10 @@ def test_rows(spark, vocabulary):
     back = pieces.decode(encoded, vocabulary, keep=["was"]).collect()
     assert all(r.text == (r.was or "").replace("▁", " ") for r in back)
     assert pieces.encode(docs.limit(0), vocabulary).count() == 0
+
+
+def test_round_trip_of_marks(spark, tmp_path):
+    spark.createDataFrame([(1, "▁ mark"), (2, "no mark"), (3, None), (4, "")], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.round_trip for r in QUERIES["op4_sentencepiece"](spark, str(tmp_path)).collect()} == {
+        1: False, 2: True, 3: True, 4: True}
