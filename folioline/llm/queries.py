@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
-    chats, decontaminate as decontamination, extract, licenses, near_join, paragraphs, pieces, quality as quality_rules,
-    substrings, toxicity as toxic_scores)
+    chats, decontaminate as decontamination, extract, licenses, near_join, negatives as hard_negatives, paragraphs, pieces,
+    quality as quality_rules, substrings, toxicity as toxic_scores)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -182,3 +182,29 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_scores.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+OP11_SQL = """
+WITH v AS (SELECT DISTINCT CAST(vec_id AS BIGINT) AS vec_id,
+             CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR NOT abs(CAST(x AS DOUBLE)) < 65536)) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS al, r.vec_id AS id, r.label AS rl,
+             CAST(coalesce(list_sum(list_transform(range(1, least(len(a.e), len(r.e)) + 1), lambda i: a.e[i] * r.e[i])), 0) AS BIGINT) AS score
+      FROM a JOIN v r ON r.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score, al FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE rl = al) WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.rl <> p.al
+        AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings"))
