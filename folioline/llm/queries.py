@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
-    chats, decontaminate as decontamination, extract, licenses, near_join, negatives as hard_negatives, paragraphs, pieces,
+    alignment as token_alignment, chats, decontaminate as decontamination, extract, licenses, near_join, negatives as hard_negatives, paragraphs, pieces,
     quality as quality_rules, substrings, toxicity as toxic_scores)
 
 QUERIES: dict = {}
@@ -208,3 +208,8 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 @query("op11_hard_negatives", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(_read(spark, sf_dir, "documents"))
