@@ -42,6 +42,20 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, f"{BLANK}+"), "")
 
 
+# The rules of the S stemmer, tried in this order, the first that matches applies: "ies" not after "a" or "e"
+# becomes "y"; "es" not after "a", "e" or "o" becomes "e"; "s" not after "u" or "s" goes. Lower case only; the ending needs a letter
+# before it, so no stem is empty.
+S_RULES = [(r"([^ae])ies$", "y"), (r"([^aeo])es$", "e"), (r"([^us])s$", "")]
+
+
+def s_stem(word: Column) -> Column:
+    """The stem of a token by ``S_RULES``, in the JVM; NULL stays NULL."""
+    out = word
+    for pattern, ending in reversed(S_RULES):
+        out = F.when(word.rlike(pattern), F.regexp_replace(word, pattern, f"$1{ending}")).otherwise(out)
+    return out
+
+
 def highlight(text: Column, terms: Iterable[str], before: str = "<b>", after: str = "</b>") -> Column:
     """Mark each token that is one of ``terms``; all other text stays untouched."""
     choice = "|".join(re.escape(term) for term in sorted(set(terms), key=lambda t: (-len(t), t)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -78,9 +78,14 @@ def bm25_topk(
     broadcast_pairs: int = BROADCAST_PAIRS,
     query_rows: int = QUERY_BLOCK,
     page_rows: int = PAGE_BLOCK,
+    stemmer: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``(query_id, id, score, rank)``: the ``k`` best pages of each query.
 
+    With ``stemmer`` (a column expression on one token, such as :func:`folioline.functions.text.s_stem`) every word of a page and
+    every query term is replaced by its stem before term counts, document frequencies and lengths are taken, in all three routes:
+    the forms of one stem share one tf, one df and one saturation.
+
     ``queries`` maps a query id to its terms, or is a frame ``(query_id, term)``. Up to
     ``inline_terms`` (query, term) pairs are written into the plan and scored in the JVM; up to
     ``broadcast_pairs`` are broadcast and scored as a matrix product per Arrow batch; beyond, blocks
@@ -93,11 +98,19 @@ def bm25_topk(
                  for term in sorted({t for t in terms if t is not None})]
         if not pairs:
             raise ValueError("no query terms")
+        if stemmer is not None:
+            asked = small_frame(pages.sparkSession, pairs, ["query_id", "term"])
+            pairs = sorted({tuple(r) for r in asked.select("query_id", stemmer(F.col("term")).alias("term")).collect()})
     else:
-        queries = queries.select("query_id", "term").where("query_id is not null and term is not null").distinct()
+        queries = queries.select("query_id", "term").where("query_id is not null and term is not null")
+        if stemmer is not None:
+            queries = queries.select("query_id", stemmer(F.col("term")).alias("term"))
+        queries = queries.distinct()
         pairs = [tuple(row) for row in queries.limit(broadcast_pairs + 1).collect()]
-    words = pages.where(F.col(id_col).isNotNull()).select(
-        id_col, tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_words"))
+    words = tokens(F.coalesce(F.col(text_col), F.lit("")))
+    if stemmer is not None:
+        words = F.transform(words, stemmer)
+    words = pages.where(F.col(id_col).isNotNull()).select(id_col, words.alias("_words"))
     if not isinstance(queries, DataFrame) and len(pairs) > inline_terms:
         queries = small_frame(pages.sparkSession, pairs, ["query_id", "term"])
     if len(pairs) > broadcast_pairs:

@@ -6,6 +6,7 @@ that gives equal rows. All times are fixed instants, as the current time could n
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -16,6 +17,7 @@ from folioline.functions import html as H, ids as I, text as T, urls as U
 from folioline.operators import audit, checks, links as L, lookup, pages as P, search, upsert
 from folioline.operators.embed import embed, hash_embed, hashed_terms
 from folioline.operators.extract import extract_text
+from folioline.operators import lsh
 from folioline.operators.nearest import knn_cosine
 from folioline.plans.crawl import crawl
 from folioline.plans.ingest import Ingest
@@ -619,10 +621,10 @@ def length_stats(spark, sf_dir):
     return search.length_stats(_texts(spark, sf_dir)).withColumn("avg_len", F.round("avg_len", 6))
 
 
-def _sql_bm25(queries: str, k: int) -> str:
+def _sql_bm25(queries: str, k: int, words: str = SQL_WORDS) -> str:
     return f"""
     WITH q AS ({queries}),
-         w AS (SELECT doc_id, {SQL_WORDS} AS words FROM documents),
+         w AS (SELECT doc_id, {words} AS words FROM documents),
          s AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(len(words)) AS al FROM w),
          tf AS (SELECT doc_id, len, term, CAST(count(*) AS DOUBLE) AS tf
                 FROM (SELECT doc_id, len(words) AS len, unnest(words) AS term FROM w)
@@ -677,6 +679,61 @@ def highlight(spark, sf_dir):
     return marked.withColumn("marked", F.regexp_replace("marked", r"\s+", " "))
 
 
+# stemmed search: the S stemmer's rules in SQL (T.S_RULES), on the same words
+def _sql_stem(w: str) -> str:
+    cases = " ".join(f"WHEN regexp_matches({w}, '{p}') THEN regexp_replace({w}, '{p}', '\\1{e}')" for p, e in T.S_RULES)
+    return f"CASE {cases} ELSE {w} END"
+
+
+def _stemmed(words: list[str]) -> list[str]:
+    """The stems of a few fixed words, written into SQL as values."""
+    out = []
+    for w in words:
+        for pattern, ending in T.S_RULES:
+            if re.search(pattern, w):
+                w = re.sub(pattern, lambda m: m.group(1) + ending, w)
+                break
+        out.append(w)
+    return sorted(set(out))
+
+
+SQL_STEMMED_WORDS = f"list_transform({SQL_WORDS}, lambda x: {_sql_stem('x')})"
+STEM_TERMS = ["the", "ores", "shes"]
+SQL_STEM_TERMS = f"SELECT DISTINCT 'q' AS query_id, {_sql_stem('t')} AS term FROM (SELECT unnest({STEM_TERMS}) AS t)"
+
+
+@register("bm25_topk_stem_map", _sql_bm25(SQL_STEM_TERMS, 10, SQL_STEMMED_WORDS))
+def bm25_topk_stem_map(spark, sf_dir):
+    """"thes", "ores", "shes" of the texts count as "the", "ore", "she": one tf, one df, one saturation a stem."""
+    return _rounded(search.bm25_topk(_texts(spark, sf_dir), {"q": STEM_TERMS}, 10, "doc_id", stemmer=T.s_stem), "score")
+
+
+@register("bm25_stem_many_queries", _sql_bm25(
+    f"SELECT DISTINCT item_id AS query_id, unnest({SQL_STEMMED_WORDS}) AS term FROM benchmark", 5, SQL_STEMMED_WORDS))
+def bm25_stem_many_queries(spark, sf_dir):
+    """Every benchmark item as a query, stemmed like the pages; the broadcast route."""
+    queries = search.analyze_tokens(_table(spark, sf_dir, "benchmark"), ["item_id"], out="term").withColumnRenamed("item_id", "query_id")
+    return _rounded(search.bm25_topk(_texts(spark, sf_dir), queries, 5, "doc_id", stemmer=T.s_stem), "score")
+
+
+@register("highlight_stem_map", f"""
+    WITH best AS ({_sql_bm25(SQL_STEM_TERMS, 10, SQL_STEMMED_WORDS)})
+    SELECT best.doc_id, array_to_string(list_transform(string_split_regex(text, '\\s+'),
+           lambda w: CASE WHEN {_sql_stem('w')} IN {tuple(_stemmed(STEM_TERMS))} THEN '<b>' || w || '</b>' ELSE w END), ' ') AS marked
+    FROM best JOIN documents USING (doc_id)""")
+def highlight_stem_map(spark, sf_dir):
+    """The ten best pages of the stemmed search, every form of an asked stem marked: the forms are those of these pages."""
+    docs = _table(spark, sf_dir, "documents")
+    best = settle(search.bm25_topk(docs, {"q": STEM_TERMS}, 10, "doc_id", stemmer=T.s_stem).select("doc_id"), "best")
+    texts = docs.join(best, "doc_id").select("doc_id", "text")
+    asked = small_frame(spark, [(t,) for t in STEM_TERMS], ["t"]).select(T.s_stem(F.col("t")).alias("s"))
+    stems = sorted({r["s"] for r in asked.collect()})
+    vocabulary = texts.select(F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("w")).distinct()
+    forms = [r["w"] for r in vocabulary.where(T.s_stem(F.col("w")).isin(stems)).collect()]
+    marked = texts.select("doc_id", T.highlight(F.col("text"), forms).alias("marked"))
+    return marked.withColumn("marked", F.regexp_replace("marked", r"\s+", " "))
+
+
 def _sql_knn(queries: str) -> str:
     return f"""
     WITH q AS ({queries}),
@@ -721,6 +778,14 @@ def knn_all(spark, sf_dir):
     return _rounded(knn_cosine(vectors, queries, 5, "vec_id", "embedding", exclude_self=True), "similarity")
 
 
+@register("knn_lsh")
+def knn_lsh(spark, sf_dir):
+    """Every vector whose id is divisible by 50 asks for its 10 nearest others, through the index; recall in tests/test_lsh.py."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    queries = vectors.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return _rounded(lsh.knn_lsh(vectors, queries, 10, "vec_id", "embedding", exclude_self=True), "similarity")
+
+
 # embedding, extraction, ingest
 
 SQL_BUCKET = "('0x' || substr(md5(w), 1, 8))::BIGINT % {}"
