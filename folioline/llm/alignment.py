@@ -38,6 +38,8 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Fixed value: the pattern that splits text before the merges of the byte-level BPE.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Texts are tokenised in runs of rows of about so many characters.
+SLICE_CHARS = 1 << 20
 #: The pair table is joined by broadcast when it has at most so many rows (about 40 bytes each); else by a shuffle on the pair.
 BROADCAST_PAIRS = 2_000_000
 
@@ -138,6 +140,19 @@ def align(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, va: _Voc
     return n_groups, int((na * nb).sum()), "".join(text.tolist()), keys, mult.astype(np.int64)
 
 
+def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Runs of rows of about ``SLICE_CHARS`` characters of text; a longer text is a run of its own. Bounds what a worker holds."""
+    sizes = batch["text"].str.len().fillna(0).to_numpy()
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > SLICE_CHARS:
+            yield batch.iloc[start:i]
+            start, total = i, 0
+        total += n
+    if start < len(batch):
+        yield batch.iloc[start:]
+
+
 def _aligned(byte_bpe: bytes, pieces: bytes):
     tokenizers = None
 
@@ -146,7 +161,7 @@ def _aligned(byte_bpe: bytes, pieces: bytes):
         if tokenizers is None:
             tokenizers = Tokenizers(byte_bpe, pieces)
         t = tokenizers
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             texts = batch["text"].tolist()
             present = [i for i, x in enumerate(texts) if isinstance(x, str) and x]
             ids_a, ids_b = t.encode([texts[i] for i in present]) if present else ([], [])
