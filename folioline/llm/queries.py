@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioline.llm import (
     alignment as token_alignment, chats, decontaminate as decontamination, extract, licenses, near_join, negatives as hard_negatives, paragraphs, pieces,
-    quality as quality_rules, substrings, toxicity as toxic_scores)
+    mil as quality_mil, quality as quality_rules, substrings, toxicity as toxic_scores)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -213,3 +213,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_token_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment(_read(spark, sf_dir, "documents"))
+
+
+@query("op12_quality_classifier")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
