@@ -23,15 +23,33 @@ def should_process(landed: Column, known: Column) -> Column:
     return ~(F.coalesce(landed, F.lit(False)) & F.coalesce(known, F.lit(False)))
 
 
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold: the test it makes for joins."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    unit = next((u for u in sorted(units, key=len, reverse=True) if text.endswith(u)), "b")
+    number = text[:len(text) - len(unit)] if text.endswith(unit) else text
+    limit = int(number) * units[unit]
+    if limit <= 0:
+        return False
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size.toString() if hasattr(size, "toString") else size) <= limit
+
+
 def pending_links(links: DataFrame, landed: DataFrame, known: DataFrame, path_col: str = "path") -> DataFrame:
     """Links still to process: ``links`` less the paths that have landed and are known.
 
-    ``links`` should be a stored table: while it is small it is broadcast, and the two large sides are
-    only scanned; what is joined afterwards is no larger than ``links``.
+    A batch that Spark may broadcast (say a stored table under the threshold) filters both large sides as they are scanned,
+    and what is joined afterwards is no larger than the batch. A larger batch is shuffled once; landed and known paths are
+    each shuffled once and meet where they lie.
     """
-    asked = links.select(path_col)
-    here = landed.select(path_col).join(asked, path_col, "left_semi")
-    done = known.select(path_col).join(asked, path_col, "left_semi").join(here, path_col, "left_semi")
+    if _broadcastable(links):
+        asked = links.select(path_col)
+        # landed paths of this batch: no larger than the batch; known is probed with these alone
+        here = landed.select(path_col).join(F.broadcast(asked), path_col, "left_semi")
+        done = known.select(path_col).join(F.broadcast(here), path_col, "left_semi")
+        return links.join(F.broadcast(done), path_col, "left_anti")
+    done = landed.select(path_col).join(known.select(path_col), path_col, "left_semi")
     return links.join(done, path_col, "left_anti")
 
 
