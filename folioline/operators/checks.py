@@ -14,11 +14,13 @@ from folioline.session import settle
 @dataclass
 class Constraints:
     """``rows``: rule name to a condition each row must meet (NULL counts as broken).
-    ``unique``: rule name to key columns. ``references``: rule name to (column, table, its column)."""
+    ``unique``: rule name to key columns. ``references``: rule name to (column, table, its column).
+    ``absent``: rule name to (column, table, its column) whose values must not be there yet (a stored primary key)."""
 
     rows: dict[str, Column] = field(default_factory=dict)
     unique: dict[str, list[str]] = field(default_factory=dict)
     references: dict[str, tuple[str, DataFrame, str]] = field(default_factory=dict)
+    absent: dict[str, tuple[str, DataFrame, str]] = field(default_factory=dict)
 
 
 def document_constraints() -> Constraints:
@@ -103,6 +105,10 @@ def check_constraints(df: DataFrame, spec: Constraints) -> tuple[DataFrame, Data
     for name, (col, table, id_col) in spec.references.items():
         bad = orphan_ids(df, table, col, id_col).withColumn("_bad", F.lit(name))
         flagged = _add_rule(flagged, bad, [col])
+    for name, (col, table, id_col) in spec.absent.items():
+        used = df.select(col).where(F.col(col).isNotNull()).distinct()
+        bad = used.join(table.select(F.col(id_col).alias(col)), col, "left_semi").withColumn("_bad", F.lit(name))
+        flagged = _add_rule(flagged, bad, [col])
     valid = flagged.where(F.size("rules") == 0).drop("rules")
     return valid, flagged.where(F.size("rules") > 0)
 

@@ -593,6 +593,65 @@ def commit_batch(spark, sf_dir):
         F.size("embeddings").alias("width"))
 
 
+def _checked_pages(spark, sf_dir, batch: int):
+    """Every line of every document as a page, with rows planted to break each rule: empty paths, page 0, empty lines,
+    a short vector, a vector of NaN, a repeated (path, page), pages of paths offered as no document. Batch 1 offers
+    first lines again, in strict mode."""
+    docs = _table(spark, sf_dir, "documents")
+    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
+    d, line = F.col("doc_id"), F.col("i") + 1
+    path = F.when(d % 13 == 0, F.lit("")).otherwise(F.concat(F.lit("doc/"), d.cast("string")))
+    vector = (F.when(d % 11 == 0, F.array_repeat(F.lit(1.0).cast("float"), 15))
+              .when((d % 7 == 0) & (line == 2), F.array_repeat(F.lit(float("nan")).cast("float"), 16))
+              .otherwise(F.array_repeat(line.cast("float"), 16)))
+    page = F.when((d % 5 == 0) & (line == 1), 0).otherwise(line).cast("long")
+    rows = lines.select("doc_id", path.alias("file_path"), page.alias("page"), "text", vector.alias("embeddings"))
+    if batch:
+        return rows.where((d % 23 == 0) & (F.col("page") <= 1))
+    again = docs.where(d % 17 == 0).select("doc_id", path.alias("file_path"), F.lit(1).cast("long").alias("page"),
+                                           F.lit("again").alias("text"), F.array_repeat(F.lit(1.0).cast("float"), 16).alias("embeddings"))
+    return rows.unionByName(again)
+
+
+SQL_CHECKED = """
+    WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+    r AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '' ELSE 'doc/' || doc_id END AS file_path,
+                 CAST(CASE WHEN doc_id % 5 = 0 AND i = 1 THEN 0 ELSE i END AS BIGINT) AS page, text,
+                 CASE WHEN doc_id % 11 = 0 THEN 15 ELSE 16 END AS width, doc_id % 11 <> 0 AND doc_id % 7 = 0 AND i = 2 AS nan FROM l),
+    p0 AS (SELECT * FROM r UNION ALL
+           SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '' ELSE 'doc/' || doc_id END, 1, 'again', 16, false FROM documents WHERE doc_id % 17 = 0),
+    p1 AS (SELECT * FROM r WHERE doc_id % 23 = 0 AND page <= 1),
+    o0 AS (SELECT DISTINCT file_path FROM p0 WHERE doc_id % 19 <> 0),
+    stored AS (SELECT file_path FROM o0 WHERE length(file_path) > 0),
+    b AS (SELECT 0 AS batch, *, count(*) OVER (PARTITION BY file_path, page) AS n,
+                 file_path IN (SELECT file_path FROM o0) AS there, false AS stored FROM p0
+          UNION ALL
+          SELECT 1, *, count(*) OVER (PARTITION BY file_path, page), true, file_path IN (SELECT file_path FROM stored) FROM p1),
+    x AS (SELECT batch, file_path, page, list_sort(list_filter([
+            CASE WHEN NOT coalesce(length(file_path) > 0, false) THEN 'file_path_not_empty' END,
+            CASE WHEN NOT coalesce(page > 0, false) THEN 'page_positive' END,
+            CASE WHEN NOT coalesce(length(text) > 0, false) THEN 'text_not_empty' END,
+            CASE WHEN width <> 16 OR nan THEN 'embedding_width' END,
+            CASE WHEN n > 1 THEN 'document_page_unique' END,
+            CASE WHEN NOT there THEN 'document_exists' END,
+            CASE WHEN stored THEN 'file_path_unique' END], lambda v: v IS NOT NULL)) AS rules FROM b)
+    SELECT batch, file_path, page, array_to_string(rules, ',') AS rules FROM x WHERE len(rules) > 0"""
+
+
+@register("commit_rejects", SQL_CHECKED)
+def commit_rejects(spark, sf_dir):
+    """A checked commit of every line of the documents, then a strict one; the rows each rejects and the rules they break."""
+    store = PageStore(spark, scratch_dir(spark, "checked"))
+    out = []
+    for batch, mode in ((0, "keep_first"), (1, "strict")):
+        pages = settle(_checked_pages(spark, sf_dir, batch), "checked")
+        offered = pages.where((F.col("doc_id") % 19 != 0) | F.lit(batch == 1)).select("file_path")
+        _, rejects = store.commit_checked(offered, pages.drop("doc_id"), batch, _instant(batch + 1), mode, width=16)
+        out.append(rejects.select(F.lit(batch).alias("batch"), "file_path", "page", F.array_join("rules", ",").alias("rules")))
+    return out[0].unionByName(out[1])
+
+
 # search
 
 @register("analyze_tokens", f"SELECT token, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS token FROM documents) GROUP BY token")

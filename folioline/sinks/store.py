@@ -21,7 +21,10 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from folioline.fixed import EMBEDDING_WIDTH
 from folioline.functions.ids import document_id, page_id
+from folioline.functions.vectors import has_width
+from folioline.operators.checks import Constraints, check_constraints
 from folioline.operators.upsert import ConflictError, instant, strict_conflicts, with_defaults
 from folioline.schema import DOCUMENT_PAGES, DOCUMENTS
 from folioline.session import empty_frame
@@ -165,6 +168,44 @@ class PageStore:
         self._publish(version, base, batch_id)
         return version
 
+    def commit_checked(
+        self, documents: DataFrame, pages: DataFrame, batch_id: int, now: Column | datetime,
+        mode: str = "keep_first", width: int = EMBEDDING_WIDTH,
+    ) -> tuple[int, DataFrame]:
+        """Commit the rows of ``pages`` that keep every constraint; ``(version, rejects)``.
+
+        Each page row is checked before anything is published: its path is not empty, its page is positive, its text is
+        not empty, its vector has ``width`` elements and none NULL or NaN; its (path, page) is offered once in the batch (the
+        primary key; all rows of a repeated key are rejected); its path is that of an offered or stored document; and in
+        ``strict`` mode its path is not stored yet. ``rejects`` has the rejected rows with ``rules``, the sorted names of
+        the rules they break; it is written beside the store's notes and counted before the rest is committed. Only keys
+        travel to find repeated keys, missing and present documents; the rows themselves stay where they are.
+        """
+        newest, base, done = self._newest(batch_id)
+        version = newest if done else newest + 1
+        path = f"{self.root}/rejects/v={version}"
+        if done:
+            return newest, self.spark.read.parquet(path)
+        stored = self._documents(newest, base).select("file_path")
+        offered = documents.select("file_path").where(F.col("file_path").isNotNull())
+        spec = Constraints(
+            rows={"file_path_not_empty": F.length("file_path") > 0, "page_positive": F.col("page") > 0,
+                  "text_not_empty": F.length("text") > 0, "embedding_width": has_width(F.col("embeddings"), width)},
+            unique={"document_page_unique": ["file_path", "page"]},
+            references={"document_exists": ("file_path", offered.unionByName(stored), "file_path")})
+        if mode == "strict":
+            spec.absent["file_path_unique"] = ("file_path", stored, "file_path")
+        valid, broken = check_constraints(pages, spec)
+        broken.withColumn("rules", F.array_sort("rules")).write.mode("overwrite").parquet(path)
+        rejects = self.spark.read.parquet(path)
+        rejects.count()
+        # documents with a path that is not empty (and in strict mode not stored) are kept, with or without pages
+        kept = offered.where(F.length("file_path") > 0).distinct()
+        if mode == "strict":
+            kept = kept.join(stored, "file_path", "left_anti")
+        self.commit(kept, valid, batch_id, now, mode, unique=True)
+        return version, rejects
+
     def compact(self) -> int:
         """Write both tables anew, as one version with nothing touched or replaced; the new version."""
         newest, base, _ = self._newest()
