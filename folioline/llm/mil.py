@@ -45,6 +45,8 @@ N_SHAPE = 8
 WIDTH = BUCKETS + N_SHAPE
 
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
+#: Texts are encoded in runs of rows of about so many characters, which bounds what a Python worker holds.
+SLICE_CHARS = 1 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -164,9 +166,23 @@ def fit(h: np.ndarray, bag: np.ndarray, y: np.ndarray, epochs: int = EPOCHS) ->
     return model
 
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs of rows of about ``SLICE_CHARS`` characters of text; a longer text is a run of its own."""
+    for batch in batches:
+        sizes = batch["text"].str.len().fillna(0).to_numpy()
+        start, total = 0, 0
+        for i, n in enumerate(sizes):
+            if total and total + n > SLICE_CHARS:
+                yield batch.iloc[start:i]
+                start, total = i, 0
+            total += n
+        if start < len(batch):
+            yield batch.iloc[start:]
+
+
 def _scored(model: dict):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch["text"].tolist()
             h, bag = passages(texts)
             p, _ = forward(model, h, bag, len(texts))
@@ -176,7 +192,7 @@ def _scored(model: dict):
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in _slices(batches):
         h, bag = passages(batch["text"].tolist())
         yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[bag], "h": list(h)})
 
