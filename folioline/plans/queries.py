@@ -94,11 +94,21 @@ def listing_scan(spark, sf_dir):
         "page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def _files(spark, sf_dir) -> str:
-    """A folder with a text file for each page, in a folder of its number."""
-    root = scratch_dir(spark, "files")
-    _table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(root)
-    return root
+    """A folder with a text file for each page, in a folder of its number; written once per application and input.
+
+    The pages are dealt to several writers first: one task writing thousands of folders took most of the time.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        root = scratch_dir(spark, "files")
+        pages = _table(spark, sf_dir, "pages").select("page_id", "html")
+        pages.repartition(4 * spark.sparkContext.defaultParallelism, "page_id").write.partitionBy("page_id").text(root)
+        _WRITTEN[key] = root
+    return _WRITTEN[key]
 
 
 def _page_of_path():
