@@ -27,9 +27,9 @@ from folioline.operators.nearest import _matrix, _searched_width
 from folioline.operators.ranking import Best, column_values, top_k
 from folioline.session import ship_package
 
-TABLES, PROBES, SEED = 6, 8, 20240607
+TABLES, PROBES, SEED = 8, 16, 20240607
 #: Bits of a table: log2 of pages per BUCKET_ROWS, within these bounds. More pages, more buckets, same pages a bucket.
-BUCKET_ROWS, MIN_BITS, MAX_BITS = 256, 4, 16
+BUCKET_ROWS, MIN_BITS, MAX_BITS = 512, 4, 16
 #: Pages of one bucket that one group compares at most.
 SUB_BLOCK_ROWS = 4096
 

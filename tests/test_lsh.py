@@ -20,8 +20,12 @@ def _recall(found, exact):
     return sum(len(got.get(q, set()) & ids) for q, ids in want.items()) / sum(len(ids) for ids in want.values())
 
 
-def test_recall_at_10_on_the_given_vectors(spark):
-    vectors = spark.read.parquet(f"{DATA}/embeddings.parquet")
+import pytest
+
+
+@pytest.mark.parametrize("data", [DATA, "/root/testdata/check_l"])
+def test_recall_at_10_on_the_given_vectors(spark, data):
+    vectors = spark.read.parquet(f"{data}/embeddings.parquet")
     queries = vectors.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     found = lsh.knn_lsh(vectors, queries, 10, "vec_id", "embedding", exclude_self=True).collect()
     exact = knn_cosine(vectors, queries, 10, "vec_id", "embedding", exclude_self=True).collect()
