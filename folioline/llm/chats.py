@@ -25,7 +25,8 @@ def numbered_turns(turns: DataFrame) -> DataFrame:
     """
     ids = turns.select("conv_id", "turn", F.col("role"), F.xxhash64(F.lit(1), "text").alias("_t1"),
                        F.xxhash64(F.lit(2), "text").alias("_t2"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha"))
-    ranged = settle(ids.repartitionByRange("conv_id", "turn", "_sha").withColumn("_range", F.spark_partition_id()), "turns")
+    # ranges are cut in the very order of positions, so that equal turns spread over ranges keep one order
+    ranged = settle(ids.repartitionByRange("conv_id", "turn", "role", "_sha").withColumn("_range", F.spark_partition_id()), "turns")
     part = Window.partitionBy("conv_id", "_range")
     ordered = part.orderBy("turn", "role", "_sha")
     local = ranged.withColumn("_i", F.row_number().over(ordered) - 1)

@@ -103,3 +103,24 @@ def test_chats(spark, monkeypatch):
     assert parts[2, 0][1].startswith("<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb")
     assert parts[10, 0] == (3, "<|im_start|>user\na<|im_end|>\n" + 2 * "<|im_start|>\nb<|im_end|>\n")
     assert chats.format_chats(table.limit(0)).count() == 0
+
+
+def test_chats_with_equal_turns_over_ranges(spark):
+    """Equal turns of two roles spread over several ranges keep the order (turn, role, text hash); a prefix is found as such."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(1, 1, rng.choice(["user", "assistant"]), f"t{i}") for i in range(400)]
+    rows += [(2, t, role, text) for _, t, role, text in rows] + [(2, 2, "user", "one more")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    # small ranges stay apart, as on a cluster with many of them
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = {(r.conv_id, r.part): r.text for r in chats.format_chats(table).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # conversation 1 is a prefix of 2 and goes
+    assert {c for c, _ in parts} == {2}
+    ordered = sorted(((t, role, hashlib.sha256(text.encode()).hexdigest(), role, text) for c, t, role, text in rows if c == 2))
+    expected = "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for *_, role, text in ordered)
+    assert "".join(parts[(2, p)] for p in sorted(p for _, p in parts)) == expected
