@@ -63,7 +63,8 @@ def _drawn(rows: DataFrame, most: int, *columns: str) -> DataFrame:
     """About ``most`` rows at most, drawn by a hash of the columns; all rows of a table that is no larger."""
     share = min(1.0, most / max(1, rows.count()))
     drawn = rows.where(F.pmod(F.xxhash64(*columns), F.lit(1_000_003)) < share * 1_000_003)
-    return drawn.limit(most + most // 4)
+    # the first by hash, not any: a rerun fits the same model (a top-k of each task, then of these)
+    return drawn.orderBy(F.xxhash64(*columns), *columns).limit(most + most // 4)
 
 
 def find_voters(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
