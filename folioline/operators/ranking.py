@@ -121,13 +121,13 @@ class QueryBlock:
 def _weighted_queries(words: DataFrame, queries: DataFrame) -> tuple[DataFrame, float]:
     """(``(query_id, terms, weights)``, mean page length). A row holds the terms of one query.
 
-    Document frequencies are counted for query terms only, each page counting a term once.
+    Document frequencies are summed per task before the query terms are picked, each page counting a term once: what is
+    shuffled is one row per task and term.
     """
     totals = words.agg(F.count("*").cast("double").alias("n"), F.avg(F.size("_words")).alias("avg_len")).first()
-    terms = queries.select("term").distinct()
     frequency = (
         words.select(F.explode(F.array_distinct("_words")).alias("term"))
-        .join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").cast("double").alias("df"))
+        .groupBy("term").agg(F.count("*").cast("double").alias("df"))
     )
     weight = F.log(1.0 + (F.lit(totals["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = (
@@ -175,28 +175,57 @@ def bm25_by_blocks(
     words: DataFrame, queries: DataFrame, k: int, id_col: str, k1: float, b: float,
     query_rows: int = QUERY_BLOCK, page_rows: int = PAGE_BLOCK,
 ) -> DataFrame:
-    """The same with pages and queries hashed into blocks of bounded size, one pair of blocks per task."""
+    """The same where the queries are too many to be sent to every task: each page travels once, the queries to each block of pages.
+
+    Pages are hashed into blocks of about ``page_rows``. A block's pages and a copy of all queries are sorted into one stream,
+    pages first; a task holds the pages of one block and ``query_rows`` queries at a time. Words travel as one text, which
+    takes less room than a list of them.
+    """
     ship_package(words.sparkSession)
     weighted, avg_len = _weighted_queries(words, queries)
-    n_query_blocks = max(1, math.ceil(queries.select("query_id").distinct().count() / query_rows))
     n_page_blocks = max(1, math.ceil(words.count() / page_rows))
     left = words.select(
-        id_col, "_words", F.pmod(F.xxhash64(id_col), F.lit(n_page_blocks)).cast("int").alias("_p"),
-        blocks(n_query_blocks).alias("_q"))
+        F.pmod(F.xxhash64(id_col), F.lit(n_page_blocks)).cast("int").alias("_block"), F.lit(False).alias("_is_query"),
+        F.col(id_col).alias("_id"), F.when(F.size("_words") > 0, F.array_join("_words", " ")).alias("_text"),
+        *[F.lit(None).cast(weighted.schema[c].dataType).alias(c) for c in weighted.columns])
     right = weighted.select(
-        "*", F.pmod(F.xxhash64("query_id"), F.lit(n_query_blocks)).cast("int").alias("_q"),
-        blocks(n_page_blocks).alias("_p"))
+        blocks(n_page_blocks).alias("_block"), F.lit(True).alias("_is_query"),
+        F.lit(None).cast(words.schema[id_col].dataType).alias("_id"), F.lit(None).cast("string").alias("_text"), "*")
     names = ["query_id", id_col, "score"]
 
-    def best(page_block: pa.Table, query_block: pa.Table) -> pa.Table:
-        ids = page_block.column(id_col).combine_chunks()
-        query_ids = query_block.column("query_id").combine_chunks()
+    def scored(pages: list[pa.RecordBatch], asked: list[pa.RecordBatch]) -> pa.RecordBatch:
+        pages, asked = (pa.Table.from_batches(part).combine_chunks() for part in (pages, asked))
+        ids, texts, query_ids, terms, weights = (
+            table.column(name).combine_chunks() for table, name in
+            ((pages, "_id"), (pages, "_text"), (asked, "query_id"), (asked, "terms"), (asked, "weights")))
         state = Best(len(query_ids), k)
-        if len(ids) and len(query_ids):
-            part = QueryBlock(query_ids, query_block.column("terms").combine_chunks(),
-                              query_block.column("weights").combine_chunks())
-            part.score_into(state, ids, page_block.column("_words").combine_chunks(), avg_len, k1, b)
-        return pa.table(state.rows(query_ids, ids.type), names=names)
-
-    pairs = left.groupBy("_p", "_q").cogroup(right.groupBy("_p", "_q"))
-    return pairs.applyInArrow(best, _schema(words, queries, id_col))
+        QueryBlock(query_ids, terms, weights).score_into(state, ids, pc.split_pattern(texts, " "), avg_len, k1, b)
+        return pa.RecordBatch.from_arrays(state.rows(query_ids, ids.type), names=names)
+
+    def best(batches):
+        block, pages, asked, n_asked = None, [], [], 0
+        for batch in batches:
+            numbers, is_query = (column_values(batch.column(i)).astype(np.int64) for i in (0, 1))
+            cuts = np.flatnonzero(np.diff(2 * numbers + is_query)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(batch)]):
+                if start == end:
+                    continue
+                if numbers[start] != block:
+                    if pages and asked:
+                        yield scored(pages, asked)
+                    block, pages, asked, n_asked = numbers[start], [], [], 0
+                if not is_query[start]:
+                    pages.append(batch.slice(start, end - start))
+                    continue
+                while pages and start < end:
+                    part = batch.slice(start, min(end - start, query_rows - n_asked))
+                    asked.append(part)
+                    start, n_asked = start + len(part), n_asked + len(part)
+                    if n_asked == query_rows:
+                        yield scored(pages, asked)
+                        asked, n_asked = [], 0
+        if pages and asked:
+            yield scored(pages, asked)
+
+    stream = left.unionByName(right).repartition("_block").sortWithinPartitions("_block", "_is_query")
+    return stream.mapInArrow(best, _schema(words, queries, id_col))

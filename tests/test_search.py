@@ -143,3 +143,30 @@ def test_stats(spark, rows):
     docs = spark.createDataFrame([("a a b",), ("b",), ("",)], "text string")
     assert rows(S.term_stats(docs)) == [("a", 1), ("b", 2)]
     assert rows(S.length_stats(docs)) == [(3, 4, 4 / 3)]
+
+
+def _shuffled_rows(node) -> int:
+    """Rows written by all shuffles below a plan that has run."""
+    name = node.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return _shuffled_rows(node.executedPlan())
+    if name.endswith("QueryStage"):
+        return _shuffled_rows(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    return own + sum(_shuffled_rows(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_blocks_shuffle_each_page_once(spark):
+    """However many blocks of queries there are, a page travels once, and a word once per task for the document frequencies."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(50)]
+    corpus = [(i, " ".join(rng.choices(words, k=20))) for i in range(2000)]
+    queries = {f"q{i}": rng.sample(words, 3) for i in range(40)}
+    asked = spark.createDataFrame([(q, t) for q, terms in queries.items() for t in terms], "query_id string, term string")
+    pages = spark.createDataFrame(corpus, "id long, text string").repartition(4)
+    best = S.bm25_topk(pages, asked, 2, inline_terms=0, broadcast_pairs=0, query_rows=2, page_rows=500)
+    found, expected = (sorted((r["query_id"], r["rank"], r["id"], round(r["score"], 6)) for r in df.collect())
+                       for df in (best, S.bm25_topk(pages, asked, 2, inline_terms=0)))
+    assert found == expected and len(found) == 80
+    # 2,000 by the test's own repartition, 2,000 pages, 160 copies of queries, terms, best rows; 20 copies of the pages are 40,000
+    assert _shuffled_rows(best._jdf.queryExecution().executedPlan()) < 5 * len(corpus)
