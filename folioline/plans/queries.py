@@ -23,7 +23,7 @@ from folioline.plans.crawl import crawl
 from folioline.plans.ingest import Ingest
 from folioline.schema import INVALID_URL
 from folioline.session import scratch_dir, settle, small_frame, spread
-from folioline.sinks.blobs import read_saved, save_blobs
+from folioline.sinks.blobs import read_saved, save_blobs, write_text_files
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
 from folioline.sources.blobs import landed_files, read_blobs
@@ -98,21 +98,17 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def _files(spark, sf_dir) -> str:
-    """A folder with a text file for each page, in a folder of its number; written once per application and input.
-
-    The pages are dealt to several writers first: one task writing thousands of folders took most of the time.
-    """
+    """A folder with a text file for each page, named by its number; written once per application and input."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         root = scratch_dir(spark, "files")
-        pages = _table(spark, sf_dir, "pages").select("page_id", "html")
-        pages.repartition(4 * spark.sparkContext.defaultParallelism, "page_id").write.partitionBy("page_id").text(root)
+        write_text_files(_table(spark, sf_dir, "pages"), root, "page_id", "html")
         _WRITTEN[key] = root
     return _WRITTEN[key]
 
 
 def _page_of_path():
-    return F.regexp_extract("path", r"/page_id=(\d+)/[^/]+\z", 1).cast("long").alias("page_id")
+    return F.regexp_extract("path", r"/page_id=(\d+)(?:/[^/]+|\.txt)\z", 1).cast("long").alias("page_id")
 
 
 @register("blob_scan", "SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length, md5(html || chr(10)) AS digest FROM pages")

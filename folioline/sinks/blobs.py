@@ -7,10 +7,17 @@ one write keep both.
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from folioline.session import empty_frame, settle
+from folioline.session import empty_frame, settle, ship_package
 
 SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -104,3 +111,49 @@ def read_saved(spark: SparkSession, root: str) -> DataFrame:
         .where(F.col("batch") < F.col("last")).select("path", "batch")
     )
     return stored.join(settle(outdated, "outdated"), ["path", "batch"], "left_anti").select("path", "content")
+
+
+def _mounted(spark: SparkSession, root: str) -> str | None:
+    """``root`` as a path of the machines' own file system, or None if it is of another."""
+    url = urlparse(root)
+    scheme = url.scheme or urlparse(spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///").scheme
+    if scheme != "file":
+        return None
+    return unquote(url.path) if url.scheme else root
+
+
+def write_text_files(df: DataFrame, root: str, id_col: str, text_col: str) -> None:
+    """A text file for each id, ``<id_col>=<id>.txt`` in a folder of its task; rows of one id share a file, a line end after each.
+
+    In a shared folder the tasks write the files themselves: Spark's writer makes a folder for each id, which the driver moves one
+    by one, and starts processes for the permissions of each. Other file systems get Spark's writer, a folder ``<id_col>=<id>`` for each.
+    """
+    spark = df.sparkSession
+    rows = df.select(id_col, text_col).repartition(4 * spark.sparkContext.defaultParallelism, id_col)
+    folder = _mounted(spark, root)
+    if folder is None:
+        rows.write.partitionBy(id_col).text(root)
+        return
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = f"{folder}/{TaskContext.get().partitionId():05d}"
+        os.makedirs(place, exist_ok=True)
+        out, name, n = None, None, 0
+        # whole files only: a repeated or speculative task puts the same ones in their place
+        part = f"{place}/.{uuid.uuid4().hex}"
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                mine = f"{place}/{id_col}={'__HIVE_DEFAULT_PARTITION__' if key is None else key}.txt"
+                if mine != name:
+                    if out is not None:
+                        out.close()
+                        os.replace(part, name)
+                    out, name, n = open(part, "wb"), mine, n + 1
+                out.write((text or "").encode() + b"\n")
+        if out is not None:
+            out.close()
+            os.replace(part, name)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    rows.sortWithinPartitions(id_col).mapInArrow(run, "n long").agg(F.sum("n")).collect()

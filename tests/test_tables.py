@@ -12,7 +12,7 @@ from folioline.functions.ids import document_id
 from folioline.operators.upsert import ConflictError, upsert_documents, upsert_pages
 from folioline.schema import DOCUMENT_PAGES, DOCUMENTS
 from folioline.session import empty_frame, scratch_dir
-from folioline.sinks.blobs import BlobExistsError, landed_paths, read_batch, read_saved, save_blobs
+from folioline.sinks.blobs import BlobExistsError, landed_paths, read_batch, read_saved, save_blobs, write_text_files
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
 from folioline.sources.blobs import landed_files, read_blobs
@@ -183,3 +183,14 @@ def test_log_and_summary(spark):
     found = {(r["stage"], r["status"]): (r["n"], r["avg_seconds"]) for r in stage_summary(log).collect()}
     assert found == {("fetch", "ok"): (2, 2.0), ("fetch", "failed"): (1, 0.5)}
     assert {r["batch_id"] for r in log.collect()} == {4}
+
+
+def test_text_files_without_a_folder_each(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"<p>ä {i}</p>") for i in range(200)] + [(7, None), (300, None), (301, "")], "page_id long, html string")
+    write_text_files(pages, f"{tmp_path}/pages", "page_id", "html")
+    files = {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in read_blobs(spark, f"{tmp_path}/pages", "*.txt").collect()}
+    expected = {f"page_id={i}.txt": f"<p>ä {i}</p>\n".encode() for i in range(200) if i != 7}
+    assert sorted(files.pop("page_id=7.txt").split(b"\n")) == sorted(["".encode(), b"", "<p>ä 7</p>".encode()])
+    assert files == {**expected, "page_id=300.txt": b"\n", "page_id=301.txt": b"\n"}
+    # folders are as many as the writing tasks, however many the files
+    assert len({p.parent for p in tmp_path.rglob("*.txt")}) <= 4 * spark.sparkContext.defaultParallelism
