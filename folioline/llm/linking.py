@@ -20,6 +20,8 @@ from folioline.session import settle, ship_package
 
 #: Rounds of leaders at most; and so many pairs for each row of the index may be left for the last step.
 ROUNDS, FEW = 6, 20
+#: The same if a round leaves more than this share of the pairs.
+STEADY = 0.9
 #: Bits of the filter that keeps rows without any candidate from being shuffled; 1 MB, whatever the data.
 FILTER_BITS = 1 << 23
 
@@ -108,11 +110,10 @@ def compare_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, ca long, cb long, linked boolean")
 
 
-def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> DataFrame:
+def link(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) of all nodes that link with another.
 
-    ``index (ord, key, node, n)``: pairs to be compared share a key under each of the ``orders``; ``n`` is the size of the
-    node's set, ``sets`` as in :func:`compare_sets` with the ``sketch`` of each.
+    ``index (key, node)``: pairs to be compared share a key. ``sets`` as in :func:`compare_sets` with the ``sketch`` of each.
     """
     def fit(n: Column, n2: Column, sketch: Column, sketch2: Column) -> Column:
         """By size, and as members of one set only are at most (100 - percent) / (100 + percent) of all of both."""
@@ -121,39 +122,44 @@ def link(index: DataFrame, sets: DataFrame, percent: int, orders: int = 1) -> Da
 
     # keys with the same members say the same: of copies that share hundreds of tokens a few groups are left
     signs = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"s{k}") for k in (1, 2)]
-    groups = index.groupBy("ord", "key").agg(*signs, F.count("*").alias("m"))
-    unlike = _settled(groups.where("m > 1").groupBy("ord", "s1", "s2", "m").agg(F.min("key").alias("key")).select("ord", "key"), "keys")
-    live = index.join(unlike, ["ord", "key"], "left_semi").withColumn("comp", F.col("node"))
-    live = _settled(live.join(sets.select("node", "sketch"), "node"), "index")
-    done, found = None, None
+    groups = index.groupBy("key").agg(*signs, F.count("*").alias("m"))
+    unlike = _settled(groups.where("m > 1").groupBy("s1", "s2", "m").agg(F.min("key").alias("key")).select("key"), "keys")
+    live = _settled(index.select("key", "node").join(unlike, "key", "left_semi").withColumn("comp", F.col("node")), "index")
+    marks = _settled(sets.select("node", (F.length("items") / 8).cast("int").alias("n"), "sketch"), "marks")
+    done, found, before = None, None, None
     for turn in range(ROUNDS + 1):
-        groups = live.groupBy("ord", "key", "comp").count().groupBy("ord", "key").agg(
+        groups = live.groupBy("key", "comp").count().groupBy("key").agg(
             F.count("*").alias("comps"), F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same"))
         open_keys = _settled(groups.where("comps > 1"), "keys")
         left = open_keys.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
         if not left["rows"]:
             break
-        live = live.join(open_keys.select("ord", "key"), ["ord", "key"], "left_semi")
-        last = turn == ROUNDS or left["pairs"] <= FEW * left["rows"]
+        live = live.join(open_keys.select("key"), "key", "left_semi")
+        # rounds that leave nearly all pairs would go on so: what is left does not link
+        last = turn == ROUNDS or left["pairs"] <= FEW * left["rows"] or (before is not None and left["pairs"] > STEADY * before)
+        before = left["pairs"]
         if last:
-            other = live.select("ord", "key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("sketch").alias("sketch2"))
-            met = live.join(other, ["ord", "key"]).where(
+            marked = live.join(marks, "node")
+            other = marked.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("sketch").alias("sketch2"))
+            met = marked.join(other, "key").where(
                 (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & fit(*[F.col(c) for c in ("n", "n2", "sketch", "sketch2")]))
         else:
             # a component drawn by lot leads, so that small ones have their turn beside one very large one
             lot = F.struct(F.xxhash64("comp", F.lit(turn)).alias("l"), F.xxhash64("node", F.lit(turn)).alias("k"),
-                           F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("sketch").alias("sketch2"))
-            leaders = live.groupBy("ord", "key").agg(F.min(lot).alias("s")).select("ord", "key", "s.node2", "s.n2", "s.comp2", "s.sketch2")
-            met = live.join(leaders, ["ord", "key"]).where(
-                (F.col("comp") != F.col("comp2")) & fit(*[F.col(c) for c in ("n", "n2", "sketch", "sketch2")]))
+                           F.col("node").alias("node2"), F.col("comp").alias("comp2"))
+            leaders = live.groupBy("key").agg(F.min(lot).alias("s")).select("key", "s.node2", "s.comp2")
+            met = live.join(leaders, "key").where(F.col("comp") != F.col("comp2"))
         first, second = F.col("node") < F.col("node2"), F.col("node") >= F.col("node2")
         pairs = met.select(
-            F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), "ord",
+            F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"),
             F.when(first, F.col("comp")).otherwise(F.col("comp2")).alias("ca"),
-            F.when(second, F.col("comp")).otherwise(F.col("comp2")).alias("cb")).groupBy("a", "b", "ca", "cb").agg(
-            F.count_distinct("ord").alias("k")).where(F.col("k") == orders).drop("k")
+            F.when(second, F.col("comp")).otherwise(F.col("comp2")).alias("cb")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
+        if not last:
+            # few are left of the pairs, which many keys share: their sketches are fetched once
+            a, b = (marks.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+            pairs = pairs.join(a, "a").join(b, "b").where(fit(*[F.col(c) for c in ("na", "nb", "sa", "sb")])).select("a", "b", "ca", "cb")
         compared = _settled(compare_sets(pairs, sets, percent), "compared")
         done = compared.select("a", "b") if done is None else done.unionByName(compared.select("a", "b"))
         fresh = compared.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b"))

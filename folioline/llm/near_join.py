@@ -1,14 +1,13 @@
-"""Near-copy join of documents on word shingles: prefix filters under several global orders, then exact sets.
+"""Near-copy join of documents on word shingles: parts that must agree, the most frequent ones left out, then exact sets.
 
-Two sets of Jaccard similarity t or more have a token in common among the first ones of each, whatever the order, if
-only it is the same for all. Here the filters are:
+Two sets of Jaccard similarity 0.8 or more differ in at most a ninth of their joint number of tokens. Sets are put into
+classes by size, and the tokens of a set are dealt by hash to a number of parts that is fixed for the class: more
+than there can be unlike tokens, so that some parts, ``SPARE`` and one more, have the same tokens in both. The key of a part is a
+hash of all its tokens; documents that merely share passages seldom have a part in common, near copies have many.
 
-1. the order of the tokens' hashes: only a document's first tokens, about 0.4 of them, go on. Similar
-   documents have at least a known number of these in common;
-2. among these the order of rarity, equally rare ones by hash: as so many are common, one is among the rarest 0.24;
-3. the same with equally rare ones in another order.
-
-Candidates have a token in common under 2 and under 3. Their whole sets are then compared.
+Each set leaves out as many of its parts as are spare, the most frequent ones by a count over all sets, ties by
+key. Of the parts that two similar sets have in common, the rarest is left out by neither. Candidates have such a part in
+common. Their whole sets are then compared.
 """
 
 from __future__ import annotations
@@ -17,15 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from folioline.llm import arrays, linking, rows, shingles
 from folioline.session import settle, ship_package
 
-#: Tokens are dealt to so many groups by their hash for each shuffle partition.
+#: Keys are dealt to so many groups by their hash for each shuffle partition.
 GROUPS_PER_PARTITION = 4
-#: A token counted in more than one of so many documents counts as frequent: it is last in the order of rarity, and
-#: documents that have it are not gathered.
+#: The same of parts; with fewer groups a set's number is stored fewer times.
+PART_GROUPS_PER_PARTITION = 2
+#: Parts are made of runs of rows of about so many bytes.
+PART_BYTES = 1 << 19
+#: A token counted in more than one of so many documents counts as frequent: parts without any other token are the first to be
+#: left out, and documents that have them are not gathered.
 FREQUENT_SHARE = 200
 #: In a run of rows a token is counted for that from so many documents on.
 FREQUENT_SEEN = 4
@@ -33,21 +36,21 @@ FREQUENT_SEEN = 4
 MAX_FREQUENT = 1 << 18
 
 
-def _need(n):
-    """Least intersection of a set of ``n`` with any similar one, for 80 per cent."""
-    return (4 * n + 4) // 5
-
+def _least_sizes() -> np.ndarray:
+    """The least size of each class. A set and a similar smaller one are of one class or of neighbouring ones."""
+    sizes = [1]
+    while sizes[-1] < 2**31:
+        sizes.append(sizes[-1] * 5 // 4 + 1)
+    return np.array(sizes, np.int64)
 
-def _first(n):
-    """How many tokens go on after filter 1."""
-    return n - _need(n) + np.maximum(1, _need(n) // 4)
 
-
-def _rarest(n: Column, first: Column) -> Column:
-    """How many of these count under filters 2 and 3."""
-    need = F.floor((4 * n + 4) / 5)
-    partner = F.floor((4 * need + 4) / 5)
-    return first - F.greatest(F.lit(1), F.floor(partner / 4)) + 1
+_LEAST = _least_sizes()
+#: By class: how many tokens two similar sets may have that the other has not; how many parts are left out; how many there are.
+_UNLIKE = 2 * (_LEAST[1:] - 1) // 9
+SPARE = 2 + _UNLIKE // 4
+_PARTS = _UNLIKE + 1 + SPARE
+#: Bytes of a key that are shuffled, beside its group.
+_KEY_BYTES = 5
 
 
 def set_digests(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -76,70 +79,155 @@ def set_digests(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
 
 
-def _token_groups(docs: DataFrame, text: str, frequent, groups: int) -> DataFrame:
-    """First tokens of each set, one row for each run of rows and group of tokens: (grp, tokens, nodes, sizes).
+def _part_keys(sets: list[np.ndarray], frequent: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(number of the set, class, key, whether no token of it is rare) of each part: first in the sets' own classes, then in the next.
 
-    ``grp`` is -1 for the frequent ones, with the nodes that have them. Sets met before in the task are left out.
+    A set has parts in the next class if it may be similar to a set of that. Sets of so few tokens that only equal ones are
+    similar have none.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    tokens = np.concatenate(sets)
+    hashes = arrays.mix(tokens)
+    rare = ~np.isin(tokens, frequent)
+    own = np.searchsorted(_LEAST, sizes, "right") - 1
+    for kind in (own, own + 1):
+        fits = (5 * sizes >= 4 * _LEAST[kind]) & (_UNLIKE[kind] > 0)
+        parts = np.where(fits, _PARTS[kind], 0)
+        begins = np.cumsum(parts) - parts
+        all_ = int(parts.sum())
+        mine = np.repeat(fits, sizes)
+        h = hashes[mine]
+        place = np.repeat(begins, sizes)[mine] + (h % np.repeat(parts, sizes)[mine].astype(np.uint64)).astype(np.int64)
+        # sums of halves, which a float holds exactly
+        low = np.bincount(place, h & np.uint64(0xFFFFFFFF), all_).astype(np.uint64)
+        high = np.bincount(place, h >> np.uint64(32), all_).astype(np.uint64)
+        owner = np.repeat(np.arange(len(sets)), parts)
+        number = (np.arange(all_) - begins[owner]).astype(np.uint64)
+        own_kind = kind[owner].astype(np.uint64)
+        keys = arrays.mix(low + (high << np.uint64(32)) + arrays.mix((own_kind << np.uint64(32)) + number + np.uint64(1)))
+        yield owner, kind[owner], keys, np.bincount(place, rare[mine], all_) == 0
+
+
+def _part_groups(docs: DataFrame, text: str, frequent, groups: int) -> DataFrame:
+    """Parts of each set, one row for each run of rows and group of keys: (grp, keys, nodes, kinds).
+
+    Parts without a rare token are dealt by their nodes, to groups from ``groups`` on. Sets met before in the task are left out.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for batch in batches:
-            for t in arrays.texts_of(batch.column(0)):
+            for t in arrays.texts_of(batch.column(0), PART_BYTES):
                 words, _, edges = shingles.word_hashes(t)
-                tokens, nodes, sizes = [], [], []
+                sets, nodes = [], []
                 for s in shingles.sets_of(words, edges):
-                    n = len(s)
-                    if n and (node := shingles.digest(s)) not in known:
+                    if len(s) and (node := shingles.digest(s)) not in known:
                         known.add(node)
-                        tokens.append(s[:_first(n)])  # sets are ascending
-                        nodes.append(np.full(len(tokens[-1]), node))
-                        sizes.append(np.full(len(tokens[-1]), n))
-                if not tokens:
+                        sets.append(s)
+                        nodes.append(node)
+                if not sets:
                     continue
-                tokens, nodes, sizes = np.concatenate(tokens), np.concatenate(nodes), np.concatenate(sizes).astype(np.int32)
-                grp = (arrays.mix(tokens) % np.uint64(groups)).astype(np.int32)
-                grp[np.isin(tokens, frequent.value)] = -1
-                order = np.argsort(grp, kind="stable")
-                cuts = np.flatnonzero(np.diff(grp[order])) + 1
-                parts = np.split(order, cuts)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([int(grp[p[0]]) for p in parts], pa.int32()), *[
-                        pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in (tokens, nodes, sizes)]],
-                    ["grp", "tokens", "nodes", "sizes"])
-
-    return docs.select(F.col(text).alias("_text")).mapInArrow(run, "grp int, tokens binary, nodes binary, sizes binary")
-
-
-def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kinds = (np.int64, np.int64, np.int32)
+                owner, kind, keys, often = map(np.concatenate, zip(*_part_keys(sets, frequent.value)))
+                if not len(keys):
+                    continue
+                node = np.array(nodes, np.int64)
+                grp = np.where(often, groups + _group_of(node, groups)[owner], (keys % np.uint64(groups)).astype(np.int32))
+                order = np.lexsort((owner, grp))
+                grp, owner = grp[order], owner[order]
+                short = np.ascontiguousarray((keys[order] // np.uint64(groups)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES])
+                yield _packed_rows(grp, {"keys": short, "nodes": node[owner], "kinds": kind[order].astype(np.uint8)})
+
+    return docs.select(F.col(text).alias("_text")).mapInArrow(run, "grp int, keys binary, nodes binary, kinds binary")
+
+
+def _group_of(nodes: np.ndarray, groups: int) -> np.ndarray:
+    return (arrays.mix(nodes.view(np.uint64)) % np.uint64(groups)).astype(np.int32)
+
+
+def _packed_rows(grp: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row for each group, by which the columns are sorted."""
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(grp)) + 1, [len(grp)]]).tolist() if len(grp) else [0]
+    spans = list(zip(cuts[:-1], cuts[1:]))
+    return pa.RecordBatch.from_arrays([pa.array(grp[cuts[:-1]], pa.int32()), *[
+        pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in columns.values()]], ["grp", *columns])
+
+
+def _unpacked(row, kinds=(np.int64, np.int64, np.int32)) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate([np.frombuffer(x.as_buffer(), k) for x in column] or [np.zeros(0, k)])
                  for column, k in zip(row, kinds))
 
 
-_SHARED = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("token", pa.int64()), ("df", pa.int32())])
+def _unpacked_parts(row, grp: int) -> tuple[np.ndarray, ...]:
+    """(token, node, class) of each part; the token is the key with its group."""
+    short, nodes, kinds = _unpacked(row, (np.uint8, np.int64, np.uint8))
+    tokens = np.zeros((len(nodes), 8), np.uint8)
+    tokens[:, :_KEY_BYTES] = short.reshape(-1, _KEY_BYTES)
+    return (tokens.view("<i8")[:, 0] << 22) + grp + 1, nodes, kinds
 
 
-def _shared_tokens(table: pa.Table) -> pa.Table:
-    """Of one group: tokens that two sets or more have, with their number ``df``, for each of these sets."""
-    tokens, nodes, sizes = _unpacked([table.column(c).combine_chunks() for c in ("tokens", "nodes", "sizes")])
-    order = np.lexsort((nodes, tokens))
-    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+def _shared(tokens: np.ndarray, nodes: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows, each once, whose token is of two nodes or more: the columns and the number ``df`` of these nodes."""
+    order = np.argsort(tokens)
+    t = tokens[order]
+    same = t[1:] == t[:-1]
+    order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(t) else order
+    order = order[np.lexsort((nodes[order], tokens[order]))]
+    tokens, nodes, *others = (x[order] for x in (tokens, nodes, *others))
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-    tokens, nodes, sizes = tokens[new], nodes[new], sizes[new]
+    tokens, nodes, *others = (x[new] for x in (tokens, nodes, *others))
     starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
     df = np.diff(np.append(starts, len(tokens)))
     df = np.repeat(df, df).astype(np.int32)
-    many = df > 1
-    return pa.Table.from_arrays([pa.array(x[many]) for x in (nodes, sizes, tokens, df)], schema=_SHARED)
+    return tuple(x[df > 1] for x in (tokens, nodes, *others, df))
+
+
+def _shared_tokens(table: pa.Table) -> pa.Table:
+    """Of one group: tokens that two sets or more have, with their number ``df``, for each of these sets."""
+    tokens, nodes, sizes, df = _shared(*_unpacked([table.column(c).combine_chunks() for c in ("tokens", "nodes", "sizes")]))
+    return pa.table({"node": nodes, "n": sizes, "token": tokens, "df": df})
+
+
+_BY_NODE = "grp int, tokens binary, nodes binary, kinds binary, dfs binary"
 
 
-def _frequent_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            tokens, nodes, sizes = _unpacked([batch.column(k).slice(i, 1) for k in (1, 2, 3)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes), pa.array(sizes), pa.array(tokens), pa.array(np.full(len(tokens), 2**31 - 1, np.int32))], schema=_SHARED)
+def _by_node(tokens: np.ndarray, nodes: np.ndarray, kinds: np.ndarray, df: np.ndarray, groups: int) -> pa.RecordBatch:
+    """Parts dealt to groups by their nodes."""
+    grp = _group_of(nodes, groups)
+    order = np.lexsort((nodes, grp))
+    return _packed_rows(grp[order], {"tokens": tokens[order], "nodes": nodes[order], "kinds": kinds[order], "dfs": df[order]})
+
+
+def _shared_parts(table: pa.Table, groups: int) -> pa.Table:
+    """Of one group: parts that two sets or more have, with their number, for each of these sets; of a group by nodes all parts."""
+    row = [table.column(c).combine_chunks() for c in ("keys", "nodes", "kinds")]
+    grp = table.column("grp")[0].as_py()
+    if grp < groups:
+        found = _shared(*_unpacked_parts(row, grp))
+    else:
+        parts = _unpacked_parts(row, -1)
+        found = (*parts, np.full(len(parts[0]), 2**31 - 1, np.int32))
+    return pa.Table.from_batches([_by_node(*found, groups)])
+
+
+def _rarest_parts(table: pa.Table) -> pa.Table:
+    """(key, node) of the parts that each set of one group does not leave out.
+
+    Parts that no other set has are the rarest, so what is left out is among the given ones.
+    """
+    tokens, nodes, kinds, df = _unpacked([table.column(c).combine_chunks() for c in ("tokens", "nodes", "kinds", "dfs")],
+                                         (np.int64, np.int64, np.uint8, np.int32))
+    order = np.lexsort((tokens, df, kinds, nodes))[::-1]
+    tokens, nodes, kinds = tokens[order], nodes[order], kinds[order]
+    same = (nodes[1:] == nodes[:-1]) & (kinds[1:] == kinds[:-1])
+    once = np.ones(len(tokens), bool)
+    once[1:] = ~same | (tokens[1:] != tokens[:-1])
+    tokens, nodes, kinds = tokens[once], nodes[once], kinds[once]
+    new = np.ones(len(tokens), bool)
+    new[1:] = (nodes[1:] != nodes[:-1]) | (kinds[1:] != kinds[:-1])
+    begins = np.flatnonzero(new)
+    place = np.arange(len(tokens)) - np.repeat(begins, np.diff(np.append(begins, len(tokens))))
+    kept = place >= SPARE[kinds]
+    return pa.table({"key": tokens[kept], "node": nodes[kept]})
 
 
 def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -185,31 +273,15 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kee
     frequent = counted.orderBy(F.col("n").desc(), "token").limit(MAX_FREQUENT).select("token").toPandas()["token"].to_numpy(np.int64)
     frequent = spark.sparkContext.broadcast(np.sort(frequent.view(np.uint64)))
 
-    groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = _token_groups(texts, "_text", frequent, groups)
-    rare = packed.where("grp >= 0").groupBy("grp").applyInArrow(_shared_tokens, "node long, n int, token long, df int")
-    common = packed.where("grp < 0").mapInArrow(_frequent_shared, "node long, n int, token long, df int")
-    shared = rare.unionByName(common)
-    by_node = shared.groupBy("node", "n").agg(F.collect_set(F.struct("df", "token")).alias("s"))
-    n = F.col("n").cast("long")
-    need = F.floor((4 * n + 4) / 5)
-    first = n - need + F.greatest(F.lit(1), F.floor(need / 4))
-    take = _rarest(n, first) - (first - F.size("s"))  # tokens that no other set has are the rarest
-    chosen = settle(by_node.withColumn("take", take.cast("int")).where("take > 0"), "shared")
-
-    def prefix(order: int, key: Column) -> DataFrame:
-        ranked = F.array_sort(F.transform("s", lambda x: F.struct(x["df"].alias("df"), key(x["token"]).alias("k"), x["token"].alias("t"))))
-        return chosen.select(F.lit(order).alias("ord"), F.explode(F.slice(ranked, 1, F.col("take"))).alias("x"), "node", "n").select(
-            "ord", F.col("x.t").alias("key"), "node", F.col("n").cast("long").alias("n"))
-
-    index = prefix(2, lambda token: token).unionByName(prefix(3, lambda token: F.xxhash64(token)))
-    index = settle(index, "prefixes")
-    met = index.groupBy("ord", "key").agg(F.count("*").alias("m")).where("m > 1").select("ord", "key")
-    index = settle(index.join(met, ["ord", "key"], "left_semi"), "prefixes")
-    # candidates have keys under both orders
-    wanted = settle(index.groupBy("node").agg(F.count_distinct("ord").alias("k")).where("k = 2").select("node"), "candidates")
+    groups = PART_GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = _part_groups(texts, "_text", frequent, groups)
+    shared = packed.groupBy("grp").applyInArrow(lambda table: _shared_parts(table, groups), _BY_NODE)
+    index = settle(shared.groupBy("grp").applyInArrow(_rarest_parts, "key long, node long"), "parts")
+    met = index.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    index = settle(index.join(met, "key", "left_semi"), "parts")
+    wanted = settle(index.select("node").distinct(), "candidates")
     sets = settle(_sets_for(texts, "_text", wanted), "sets")
-    linked = linking.link(index.join(wanted, "node", "left_semi"), sets, shingles.PERCENT, orders=2)
+    linked = linking.link(index, sets, shingles.PERCENT)
 
     classes = members.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     joined = classes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -130,7 +130,7 @@ def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     table = settle(_digests(rows, "_text", ["doc_id", "key"]), "paragraphs")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = _bands(rows, "_text", groups).groupBy("grp").applyInArrow(_shared_tokens, "node long, n int, token long, df int")
-    index = settle(shared.select(F.lit(1).alias("ord"), F.col("token").alias("key"), "node", F.col("n").cast("long").alias("n")), "bands")
+    index = settle(shared.select(F.col("token").alias("key"), "node"), "bands")
     sets = settle(_sets_for(rows, "_text", settle(index.select("node").distinct(), "candidates")), "sets")
     linked = linking.link(index, sets, shingles.PERCENT)
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from folioline.llm import linking, near_join, paragraphs, substrings
@@ -279,3 +280,44 @@ def test_paragraphs_messy(spark):
     assert paragraphs.remove_paragraphs(docs).columns == docs.columns
     assert paragraphs.remove_paragraphs(docs).count() == len(rows)
     assert paragraphs.repeated_paragraphs(docs.limit(0)).count() == 0
+
+
+def test_shared_passages_make_no_candidates(spark, monkeypatch):
+    """Documents of passages that many others have too, but none similar: no key is left whose members would be paired."""
+    rng = random.Random(21)
+    pool = [" ".join(rng.choice(VOCABULARY) + str(rng.randrange(50)) for _ in range(40)) for _ in range(100)]
+    rows = [(i, " ".join(rng.sample(pool, 5) + [f"own{i}word{k}" for k in range(20)])) for i in range(150)]
+    rows += [(1000, rows[0][1]), (1001, rows[1][1] + " more")]
+    seen = []
+    link = linking.link
+
+    def counted(index, *args, **settings):
+        seen.append(index.count())
+        return link(index, *args, **settings)
+
+    monkeypatch.setattr(linking, "link", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _got(near_join.near_copies(docs)) == _expected(rows)
+    # the one near copy has some hundred keys; one pair of documents with a passage in common would have about ten
+    assert seen[0] < 10 * len(rows)
+
+
+def test_parts_of_similar_sets():
+    """Similar sets keep a part in common, whatever their sizes and however frequent their tokens."""
+    rng = random.Random(5)
+    for n in [5, 6, 9, 14, 40, 41, 90, 333]:
+        for _ in range(20):
+            least = -(-4 * n // 5)
+            own = rng.randint(least, n)
+            a = np.array(sorted(rng.sample(range(1, 2**40), n)), np.uint64)
+            # subsets, and sets with as many tokens of their own as similarity allows
+            extra = max(0, 5 * own // 4 - n)
+            b = np.unique(np.concatenate([np.array(rng.sample(a.tolist(), own), np.uint64), np.array(rng.sample(range(2**41, 2**42), extra), np.uint64)]))
+            if not _similar(frozenset(a.tolist()), frozenset(b.tolist())):
+                continue
+            found = list(map(np.concatenate, zip(*near_join._part_keys([a, b], a[: rng.randint(0, n)]))))
+            keys = [{(k, x) for o, k, x in zip(*found[:3]) if o == i} for i in (0, 1)]
+            spare = {k: int(near_join.SPARE[k]) for k in found[1].tolist()}
+            if _similar(frozenset(a.tolist()), frozenset(b.tolist())) and set(a.tolist()) != set(b.tolist()):
+                both = keys[0] & keys[1]
+                assert any(sum(k == kind for k, _ in both) > spare[kind] for kind in spare)
