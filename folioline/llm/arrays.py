@@ -17,8 +17,8 @@ SLICE_BYTES = 2 << 20
 _rng = np.random.default_rng(20240601)
 #: One odd multiplier and one random value per byte.
 _BYTE_VALUES = _rng.integers(0, 2**64, 256, dtype=np.uint64)
-_R = np.uint64(0x9E3779B97F4A7C15)
-_R_INVERSE = np.uint64(pow(int(_R), -1, 2**64))
+R = np.uint64(0x9E3779B97F4A7C15)
+R_INVERSE = np.uint64(pow(int(R), -1, 2**64))
 _powers = {}
 
 #: Bytes between words `[^\x20\x09-\x0D]+`.
@@ -111,13 +111,13 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Sums from which :func:`span_hashes` takes the hash of any span."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers(_R, len(data))[:len(data)], dtype=np.uint64, out=total[1:])
+    np.cumsum(_BYTE_VALUES[data] * powers(R, len(data))[:len(data)], dtype=np.uint64, out=total[1:])
     return total
 
 
 def span_hashes(total: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span, wherever it stands."""
-    inverse = powers(_R_INVERSE, len(total))
+    inverse = powers(R_INVERSE, len(total))
     return mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
 
 
@@ -128,6 +128,6 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
     for k in range(size):
-        out *= _R
+        out *= R
         out += words[k:k + n]
     return mix(out)

@@ -3,15 +3,20 @@
 Paragraphs are lines with a word; one of fewer than five words is one shingle as a whole. Equal ones are one node from the start. The minima of 30 hashes over a node's five-word
 shingles make ten bands of three; nodes that share a band are compared on their whole sets. At a similarity of 0.8 a pair
 shares a band with probability 1 - (1 - 0.8**3)**10 = 0.9992. Of each component the first paragraph stays.
+
+Passages within lines: a line is cut where the hash of ``GRAM`` words is the least of ``SPREAD`` neighbouring ones, so that a
+passage of ``PASSAGE`` words has two cuts or more of its own, wherever it stands (unless such words repeat within it). Words
+from one cut to the end of the next one's are a piece; of equal pieces the first stays, and the others go from long lines.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from folioline.llm import arrays, linking, shingles
 from folioline.llm.rows import packed, same, text_key
@@ -24,6 +29,13 @@ MIN_WORDS = 1
 MIN_BANDED = shingles.PERCENT // (100 - shingles.PERCENT)
 BANDS, ROWS = 10, 3
 _SEEDS = arrays.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+#: Passages of so many words are found within lines; lines of fewer words have no pieces, and runs of fewer count as short.
+PASSAGE = 50
+#: Pieces are cut out of lines of more words; lines up to that go or stay as a whole.
+LONG = 70
+#: Words that decide about a cut, and the number of places of which one is cut: two windows of places fit into a passage.
+GRAM = 8
+SPREAD = (PASSAGE - GRAM + 1) // 2
 
 
 def _paragraphs(t: arrays.Texts):
@@ -40,25 +52,89 @@ def _paragraphs(t: arrays.Texts):
     return hashes, first[long], last[long], text[long], line[long]
 
 
-def _sets(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
-    # every word is in a paragraph, so each begins where the one before it ends
-    return shingles.sets_of(hashes, np.append(first, last[-1:]))
+def _sets(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending distinct shingles of all paragraphs in a row, edges of the paragraphs in them), as :func:`shingles.sets_of`."""
+    n = last - first
+    widths = np.maximum(n - shingles.WORDS + 1, 1)
+    edges = np.concatenate([[0], np.cumsum(widths)])
+    owner = np.repeat(np.arange(len(n)), widths)
+    items = np.zeros(edges[-1], np.uint64)
+    for size in range(1, shingles.WORDS + 1):
+        whole = n == size if size < shingles.WORDS else n >= size
+        if whole.any():
+            mine = whole[owner]
+            at = first[owner[mine]] + np.flatnonzero(mine) - edges[owner[mine]]
+            items[mine] = arrays.window_hashes(hashes, size)[at] ^ np.uint64(size if size < shingles.WORDS else 0)
+    order = np.lexsort((items, owner))
+    items = items[order]
+    once = np.ones(len(items), bool)
+    once[1:] = (items[1:] != items[:-1]) | (owner[1:] != owner[:-1])
+    return items[once], np.concatenate([[0], np.cumsum(once)])[edges]
+
+
+def _nodes(items: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """:func:`shingles.digest` of each set; none is empty."""
+    if len(edges) < 2:
+        return np.zeros(0, np.int64)
+    sums = np.add.reduceat(arrays.mix(items), edges[:-1])
+    return arrays.mix(sums + np.diff(edges).astype(np.uint64)).view(np.int64)
+
+
+def _slid(values: np.ndarray, size: int, best) -> np.ndarray:
+    """``best`` (a minimum or maximum) of each value and the ``size - 1`` after it."""
+    width = 1
+    while 2 * width <= size:
+        values = best(values[:-width], values[width:])
+        width *= 2
+    return best(values[:len(values) - (size - width)], values[size - width:])
+
+
+def _pieces(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(paragraph, first word in it, number of words, hash of the words) of each piece."""
+    if not ((last - first) >= PASSAGE).any():
+        return tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.uint64))
+    grams = arrays.window_hashes(hashes, GRAM)
+    least = _slid(grams, SPREAD, np.minimum)
+    line = np.searchsorted(first, np.arange(len(least)), "right") - 1
+    within = (np.arange(len(least)) + SPREAD + GRAM - 1 <= last[line]) & ((last - first)[line] >= PASSAGE)
+    none = np.zeros(SPREAD - 1, np.uint64)
+    highest = _slid(np.concatenate([none, np.where(within, least, np.uint64(0)), none]), SPREAD, np.maximum)
+    cuts = np.flatnonzero(highest == grams)
+    # of words that repeat one after the other the first
+    cuts = cuts[np.concatenate([[True], grams[cuts[1:]] != grams[cuts[:-1]]])] if len(cuts) else cuts
+    line = np.searchsorted(first, cuts, "right") - 1
+    same = line[1:] == line[:-1]
+    begin, end, line = cuts[:-1][same], cuts[1:][same] + GRAM, line[:-1][same]
+    up, down = arrays.powers(arrays.R, len(hashes)), arrays.powers(arrays.R_INVERSE, len(hashes))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:len(hashes)], dtype=np.uint64)])
+    keys = arrays.mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    return line, begin - first[line], end - begin, keys
+
+
+_TABLE = "paragraphs array<struct<line: int, node: long, n: int>>, pieces array<struct<line: int, at: int, n: int, cut: boolean, piece: long>>"
 
 
 def _digests(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` and ``paragraphs``, an array of (line, node) for each row."""
+    """``keep``, ``paragraphs`` and ``pieces``: arrays of what each row has."""
+    def listed(owner: np.ndarray, rows: int, **columns: np.ndarray) -> pa.Array:
+        items = pa.StructArray.from_arrays([pa.array(x) for x in columns.values()], list(columns))
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)), items)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in arrays.texts_of(batch.column(0)):
                 hashes, first, last, owner, line = _paragraphs(t)
-                nodes = np.array([shingles.digest(s) for s in _sets(hashes, first, last)], np.int64)
-                items = pa.StructArray.from_arrays([pa.array(line.astype(np.int32)), pa.array(nodes)], ["line", "node"])
-                offsets = np.searchsorted(owner, np.arange(len(t) + 1)).astype(np.int32)
+                nodes, line = _nodes(*_sets(hashes, first, last)), line.astype(np.int32)
+                which, at, n, keys = _pieces(hashes, first, last)
                 kept = batch.slice(t.first, len(t)).columns[1:]
-                yield pa.RecordBatch.from_arrays(kept + [pa.ListArray.from_arrays(pa.array(offsets), items)], [*keep, "paragraphs"])
+                yield pa.RecordBatch.from_arrays(kept + [
+                    listed(owner, len(t), line=line, node=nodes, n=(last - first).astype(np.int32)),
+                    listed(owner[which], len(t), line=line[which], at=at.astype(np.int32), n=n.astype(np.int32),
+                           cut=(last - first)[which] > LONG, piece=keys.view(np.int64)),
+                ], [*keep, "paragraphs", "pieces"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["paragraphs array<struct<line: int, node: long>>"])
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [_TABLE])
     return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
 
 
@@ -69,11 +145,12 @@ def _bands(docs: DataFrame, text: str, groups: int) -> DataFrame:
         for batch in batches:
             for t in arrays.texts_of(batch.column(0)):
                 hashes, first, last, _, _ = _paragraphs(t)
+                items, edges = _sets(hashes, first, last)
                 sets, nodes = [], []
-                for s in _sets(hashes, first, last):
-                    if len(s) >= MIN_BANDED and (node := shingles.digest(s)) not in known:
+                for node, a, b in zip(_nodes(items, edges).tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+                    if b - a >= MIN_BANDED and node not in known:
                         known.add(node)
-                        sets.append(s)
+                        sets.append(items[a:b])
                         nodes.append(node)
                 if not sets:
                     continue
@@ -104,12 +181,13 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for t in arrays.texts_of(batch.column(0)):
                 hashes, first, last, _, _ = _paragraphs(t)
+                all_, edges = _sets(hashes, first, last)
                 nodes, items = [], []
-                for s in _sets(hashes, first, last):
-                    if (node := shingles.digest(s)) not in known and linking.in_filter(bits.value, node):
+                for node, a, b in zip(_nodes(all_, edges).tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+                    if node not in known and linking.in_filter(bits.value, node):
                         known.add(node)
                         nodes.append(node)
-                        items.append(s)
+                        items.append(all_[a:b])
                 yield linking.set_rows(nodes, items)
 
     found = docs.select(F.col(text).alias("_text")).mapInArrow(run, linking.SET_ROWS)
@@ -117,9 +195,40 @@ def _sets_for(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         F.first("items").alias("items"), F.first("sketch").alias("sketch"))
 
 
+def _repeated_pieces(table: DataFrame) -> DataFrame:
+    """(_pd, _pk, passages): the pieces of long lines that stand at an earlier place too."""
+    each = table.select("doc_id", "key", F.explode("pieces").alias("p")).select("doc_id", "key", "p.*")
+    # most pieces are met once; only the others are put in order
+    several = each.groupBy("piece").agg(F.count("*").alias("m")).where("m > 1").select("piece")
+    again = settle(each.join(settle(several, "several"), "piece"), "pieces")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line", "at")
+    first = again.groupBy("piece").agg(F.min(place).alias("stays"))
+    return again.join(first, "piece").where("cut").where(place != F.col("stays")).groupBy(
+        F.col("doc_id").alias("_pd"), F.col("key").alias("_pk")).agg(
+        F.array_sort(F.collect_set(F.struct("line", "at", "n"))).alias("passages"))
+
+
+def _short(gone: Column) -> Column:
+    """How many of the paragraphs ``(i, line, n)`` are in runs, one beside the other, of fewer than ``PASSAGE`` words in all."""
+    def state(i, words, lines, short):
+        return F.struct(i.cast("int").alias("i"), words.cast("long").alias("words"), lines.cast("long").alias("lines"), short.cast("long").alias("short"))
+
+    def ended(s):
+        return s["short"] + F.when(s["words"] < PASSAGE, s["lines"]).otherwise(0)
+
+    def step(s, p):
+        on = p["i"] == s["i"] + 1
+        return F.when(on, state(p["i"], s["words"] + p["n"], s["lines"] + 1, s["short"])).otherwise(
+            state(p["i"], p["n"], F.lit(1), ended(s)))
+
+    return F.aggregate(gone, state(*[F.lit(x) for x in (-2, 0, 0, 0)]), step, ended)
+
+
 def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, n_paragraphs, removed) for each row: ``removed`` are the lines, counted from 0, that are near copies
-    of a paragraph in a document of a smaller id or in an earlier line.
+    """(doc_id, key, n_paragraphs, removed, n_short, passages) for each row: ``removed`` are the lines, counted from 0, that are near
+    copies of a paragraph in a document of a smaller id or in an earlier line, ``n_short`` how many of them are in runs, one beside the
+    other, of fewer than ``PASSAGE`` words. ``passages (line, at, n)`` are the pieces, ``n`` words from word ``at`` on, counted from 0, that stand at an
+    earlier place too, of lines of more than ``LONG`` words that are not removed as a whole. Pieces may overlap.
 
     Null and empty texts have no paragraphs. ``key`` is a hash of the text: rows of one id stand for documents of
     their own, in the order of their keys; rows that repeat in full are judged alike. Null ids come last.
@@ -134,27 +243,60 @@ def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     sets = settle(_sets_for(rows, "_text", settle(index.select("node").distinct(), "candidates")), "sets")
     linked = linking.link(index, sets, shingles.PERCENT)
 
-    each = table.select("doc_id", "key", F.explode("paragraphs").alias("p")).select("doc_id", "key", "p.line", "p.node")
+    each = table.select("doc_id", "key", F.posexplode("paragraphs").alias("i", "p")).select("doc_id", "key", "i", "p.line", "p.node", "p.n")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line")
     nodes = each.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("m"))
     joined = settle(nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")), "nodes")
     kept = joined.groupBy("component").agg(F.min("first").alias("stays"), F.sum("m").alias("all")).where(F.col("all") > 1)
     several = settle(joined.join(kept, "component").select("node", "stays"), "several")
     gone = each.join(several, "node").where(place != F.col("stays")).groupBy(
-        F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(F.array_sort(F.collect_set("line")).alias("removed"))
+        F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(
+        F.array_sort(F.collect_set(F.struct("i", "line", "n"))).alias("gone")).select(
+        "_d", "_k", F.col("gone.line").alias("removed"), _short(F.col("gone")).alias("n_short"))
     alike = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k"))
-    return table.select("doc_id", "key", F.size("paragraphs").cast("long").alias("n_paragraphs")).join(gone, alike, "left").select(
-        "doc_id", "key", "n_paragraphs", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    alike_too = F.col("doc_id").eqNullSafe(F.col("_pd")) & (F.col("key") == F.col("_pk"))
+    met = table.select("doc_id", "key", F.size("paragraphs").cast("long").alias("n_paragraphs")).join(gone, alike, "left").join(
+        _repeated_pieces(table), alike_too, "left")
+    none = F.array().cast("array<struct<line: int, at: int, n: int>>")
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
+    return met.select("doc_id", "key", "n_paragraphs", removed.alias("removed"), F.coalesce("n_short", F.lit(0).cast("long")).alias("n_short"),
+                      F.filter(F.coalesce("passages", none), lambda p: ~F.array_contains(removed, p["line"])).alias("passages"))
+
+
+_WORD = re.compile("[^\\x20\\x09-\\x0D]+")
+
+
+def _without_passages(text, passages):
+    """``text`` without the words of its ``passages`` and what is between these."""
+    if not passages:
+        return text
+    lines = text.split("\n")
+    spans: dict[int, list] = {}
+    for p in passages:
+        spans.setdefault(p["line"], []).append((p["at"], p["at"] + p["n"]))
+    for i, cuts in spans.items():
+        words = [m.span() for m in _WORD.finditer(lines[i])]
+        left, done = [], 0
+        for a, b in sorted(cuts):
+            left.append(lines[i][done:max(done, words[a][0])])
+            done = max(done, words[b - 1][1])
+        lines[i] = "".join(left) + lines[i][done:]
+    return "\n".join(lines)
 
 
 def remove_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the lines that :func:`repeated_paragraphs` finds; no row goes, and texts without any are as they were."""
-    found = repeated_paragraphs(docs, doc_id, text).where(F.size("removed") > 0)
-    cut = settle(found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "removed").dropDuplicates(["_d", "_k"]).withColumnRenamed(
-        "removed", "_lines"), "removed")
+    """``docs`` without the lines and passages that :func:`repeated_paragraphs` finds; no row goes, and texts without any are as they were.
+
+    A line of which passages go stays a line.
+    """
+    found = repeated_paragraphs(docs, doc_id, text).where((F.size("removed") > 0) | (F.size("passages") > 0))
+    cut = settle(found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("removed").alias("_lines"), F.col("passages").alias(
+        "_passages")).dropDuplicates(["_d", "_k"]), "removed")
     table = packed(docs, text, doc_id=doc_id)
     met = table.join(cut, same(table, cut), "left")
     own = F.col(f"row.`{text}`")
-    left = F.array_join(F.filter(F.split(own, "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
+    # words are told apart as in the operator: by these bytes only
+    shorter = F.when(F.size("_passages") > 0, F.udf(_without_passages, T.StringType())(own, "_passages")).otherwise(own)
+    left = F.array_join(F.filter(F.split(shorter, "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
     new = F.when(F.col("_lines").isNull(), own).otherwise(left)
     return met.select(*[new.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -282,6 +282,59 @@ def test_paragraphs_messy(spark):
     assert paragraphs.repeated_paragraphs(docs.limit(0)).count() == 0
 
 
+def _passage_words(rows):
+    """By brute force: the words, as (row, line, word), of every 50 words of a line that a row of a smaller id has within a line too."""
+    seen, out = {}, defaultdict(set)
+    for n, (i, text) in enumerate(rows):
+        for k, line in enumerate(text.split("\n")):
+            words = _words(line)
+            for a in range(len(words) - 49):
+                first = seen.setdefault(tuple(words[a:a + 50]), i)
+                if first < i:
+                    out[n].update((k, b) for b in range(a, a + 50))
+    return out
+
+
+def test_passages_within_long_lines(spark):
+    """Passages of 50 words and more in unlike long lines: each is found, and only words that an earlier document has too."""
+    rng = random.Random(31)
+    fresh = iter(range(10**6))
+    own = lambda n: [f"{rng.choice(VOCABULARY)}{next(fresh)}" for _ in range(n)]
+    passages = [own(rng.randint(50, 90)) for _ in range(40)]
+    rows = []
+    for i in range(160):
+        lines = [" ".join(own(rng.randint(80, 200)) + passages[i % 40] + own(rng.randint(80, 200))), " ".join(own(30))]
+        rows.append((i, rng.choice(["\n", "\n\n"]).join(rng.sample(lines, 2)) if i % 5 else lines[0].upper()))
+    rows += [(500 + i, "  ".join(own(300))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in paragraphs.repeated_paragraphs(docs).collect()}
+    texts = {r.doc_id: r.text for r in paragraphs.remove_paragraphs(docs).collect()}
+    truth = _passage_words(rows)
+    assert len(truth) == 120
+    for n, (i, text) in enumerate(rows):
+        gone = {(p.line, b) for p in found[i].passages for b in range(p.at, p.at + p.n)}
+        assert found[i].removed == [] and found[i].n_short == 0
+        assert bool(gone) == bool(truth[n]) and gone <= truth[n]
+        left = [" ".join(w for b, w in enumerate(line.split()) if (k, b) not in gone) for k, line in enumerate(text.split("\n"))]
+        assert [" ".join(x.split()) for x in texts[i].split("\n")] == left
+        if not gone:
+            assert texts[i] == text
+
+
+def test_a_line_that_goes_has_no_passages(spark):
+    """A long line that goes as a whole is counted once, and short lines apart; null ids come last."""
+    line = " ".join(f"w{k}" for k in range(120))
+    more = " ".join(f"v{k}" for k in range(90))
+    short = "\n\n".join(" ".join(f"s{j}x{k}" for k in range(9)) for j in range(6))
+    rows = [(1, f"{line}\nhome\n{short}"), (2, f"{line}\nown words\nhome"), (3, f"{more} {line} home"), (4, f"{short}\nb\nhome"),
+            (None, f"{more.upper().replace('V', 'u')} {line}"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_paragraphs): (r.removed, r.n_short, len(r.passages) > 0) for r in paragraphs.repeated_paragraphs(docs).collect()}
+    # six short lines in a row are a passage of 54 words
+    assert got == {(1, 8): ([], 0, False), (2, 3): ([0, 2], 1, False), (3, 1): ([], 0, True), (4, 8): ([0, 2, 4, 6, 8, 10, 12], 1, False),
+                   (None, 1): ([], 0, True), (None, 0): ([], 0, False)}
+
+
 def test_shared_passages_make_no_candidates(spark, monkeypatch):
     """Documents of passages that many others have too, but none similar: no key is left whose members would be paired."""
     rng = random.Random(21)
