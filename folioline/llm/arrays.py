@@ -99,7 +99,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """1, base, base**2, ... of at least ``n`` numbers, modulo 2**64; short ones are kept."""
     known = _powers.get(int(base))
     if known is None or len(known) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, 1 << 16, min(2 * len(known) if known is not None else 0, SLICE_BYTES + 1))
         known = np.full(size, base)
         known[0] = 1
         known = np.cumprod(known, dtype=np.uint64)

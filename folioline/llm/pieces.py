@@ -33,6 +33,8 @@ MAX_PIECES = 1 << 20
 _CHARS = 1 << 21
 #: So many different units a task remembers before it starts anew.
 _REMEMBERED = 1 << 19
+#: Texts are encoded in runs of rows of about so many bytes.
+_RUN_BYTES = 1 << 19
 #: Longer units are merged one by one from a heap, in n log n steps.
 _LONG = 64
 _NONE = np.float32(-np.inf)
@@ -108,8 +110,10 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.lengths = np.zeros(1 << 12, np.int64)
+        # hashes of the units, ascending, and the slot of each: a dictionary of so many numbers would take ten times the memory
+        self.keys = np.zeros(0, np.uint64)
+        self.slots = np.zeros(0, np.int32)
+        self.lengths = np.zeros(1 << 12, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.pool = np.zeros(1 << 14, np.int32)
         self.filled = 0
@@ -136,34 +140,36 @@ class Encoder:
         keys[head] ^= np.uint64(0x5DEECE66D5DEECE6)  # the first unit of a text has a mark in front
 
         unlike, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.slots) > _REMEMBERED:
+        if len(self.keys) > _REMEMBERED:
             self.forget()
-        listed = unlike.tolist()
-        missing = [i for i, k in enumerate(listed) if k not in self.slots]
-        if missing:
+        missing = np.flatnonzero(~np.isin(unlike, self.keys, assume_unique=True))
+        if len(missing):
             at = first[missing]
             raw = data.tobytes()
             units = [(MARK if h else "") + raw[b:e].decode("utf-8", "replace").replace(" ", MARK)
                      for b, e, h in zip(begins[at].tolist(), ends[at].tolist(), head[at].tolist())]
-            self._remember([listed[i] for i in missing], *self.encode_units(units))
-        slots = np.array([self.slots[k] for k in listed], np.int64)[which]
+            self._remember(unlike[missing], *self.encode_units(units))
+        slots = self.slots[np.searchsorted(self.keys, unlike)][which]
         lengths, starts = self.lengths[slots], self.starts[slots]
         total = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.pool[np.repeat(starts - total[:-1], lengths) + np.arange(total[-1])]
         return ids, total[np.searchsorted(begins, offsets)]
 
-    def _remember(self, keys: list[int], lengths: np.ndarray, more: np.ndarray) -> None:
+    def _remember(self, keys: np.ndarray, lengths: np.ndarray, more: np.ndarray) -> None:
         while self.filled + len(more) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while len(self.slots) + len(keys) > len(self.lengths):
+        while len(self.keys) + len(keys) > len(self.lengths):
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        slot = len(self.slots)
+        slot = len(self.keys)
         self.lengths[slot:slot + len(keys)] = lengths
         self.starts[slot:slot + len(keys)] = self.filled + np.cumsum(lengths) - lengths
         self.pool[self.filled:self.filled + len(more)] = more
         self.filled += len(more)
-        self.slots.update(zip(keys, range(slot, slot + len(keys))))
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.slots = np.concatenate([self.slots, np.arange(slot, len(keys), dtype=np.int32)])[order]
 
     # units
 
@@ -401,7 +407,7 @@ def _in_batches(docs: DataFrame, vocabulary: Vocabulary, text: str, keep: list[s
         encoder, decoder = None, None
         for batch in batches:
             encoder, decoder = encoder or Encoder(shared.value), decoder or Decoder(shared.value)
-            for t in arrays.texts_of(batch.column(0)):
+            for t in arrays.texts_of(batch.column(0), _RUN_BYTES):
                 kept = batch.slice(t.first, len(t)).columns[1:]
                 made = work(encoder, decoder, t)
                 yield pa.RecordBatch.from_arrays(kept + made, names)

@@ -1,6 +1,7 @@
 """Encoding against the library, Viterbi against all segmentations, round trips."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -85,3 +86,22 @@ def test_round_trip_of_marks(spark, tmp_path):
         f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.round_trip for r in QUERIES["op4_sentencepiece"](spark, str(tmp_path)).collect()} == {
         1: False, 2: True, 3: True, 4: True}
+
+
+def test_remembered_units_stay_small():
+    """What a task keeps of the units it has met: a few plain numbers each, however many runs of rows they came in."""
+    vocabulary = pieces.load_vocabulary(PIECES)
+    encoder, once = pieces.Encoder(vocabulary), pieces.Encoder(vocabulary)
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for k in range(20):
+        texts = [" ".join(f"u{10_000 * k + i}x" for i in range(10_000)), f"u{k}x u{19 - k}x end"]
+        t = next(arrays.texts_of(pa.array(texts)))
+        ids, offsets = encoder.encode(t)
+        if k in (0, 19):
+            alone, edges = once.encode(t)
+            assert (ids == alone).all() and (offsets == edges).all()
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    # 200,000 units of about seven ids; numbers in a dictionary take more than 100 bytes each beside these
+    assert kept < 200_000 * 110
