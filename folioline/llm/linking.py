@@ -85,12 +85,27 @@ def set_rows(nodes: list[int], items: list[np.ndarray]) -> pa.RecordBatch:
         [pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in items], pa.binary()), sketches], ["node", "items", "sketch"])
 
 
+def _sets_of(wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, items) of ``sets`` for the ``wanted`` nodes, and for few others."""
+    bits = wanted.sparkSession.sparkContext.broadcast(node_filter(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(0).to_numpy().astype(np.int64) % FILTER_BITS
+            bytes_ = np.frombuffer(bits.value, np.uint8)
+            yield batch.filter(pa.array((bytes_[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return sets.select("node", "items").mapInArrow(run, "node long, items binary")
+
+
 def compare_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs (a, b, ca, cb)``, nodes and their components so far, plus ``linked``: whether 100 * intersection >= percent * union.
 
-    ``sets (node, items)``: ascending 64-bit numbers as binary, one row for each node.
+    ``sets (node, items)``: ascending 64-bit numbers as binary, one row for each node. Only those of the pairs are shuffled.
     """
     ship_package(pairs.sparkSession)
+    pairs = _settled(pairs, "pairs")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

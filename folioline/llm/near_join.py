@@ -24,7 +24,7 @@ from folioline.session import settle, ship_package
 #: Keys are dealt to so many groups by their hash for each shuffle partition.
 GROUPS_PER_PARTITION = 4
 #: The same of parts; with fewer groups a set's number is stored fewer times.
-PART_GROUPS_PER_PARTITION = 2
+PART_GROUPS_PER_PARTITION = 1
 #: Parts are made of runs of rows of about so many bytes.
 PART_BYTES = 1 << 19
 #: A token counted in more than one of so many documents counts as frequent: parts without any other token are the first to be

@@ -355,6 +355,15 @@ def test_shared_passages_make_no_candidates(spark, monkeypatch):
     assert seen[0] < 10 * len(rows)
 
 
+def test_sets_of_other_nodes_are_not_fetched(spark):
+    """Only the sets of nodes in pairs go on to be joined; numbers of either sign, a node in several pairs, no pair at all."""
+    sets = spark.createDataFrame([(k * 7919 * (-1) ** k, bytes(8)) for k in range(2000)], "node long, items binary").repartition(3)
+    nodes = [0, -7919, 2 * 7919, -7919]
+    got = linking._sets_of(spark.createDataFrame([(n,) for n in nodes], "node long"), sets).collect()
+    assert {r.node for r in got} >= set(nodes) and len(got) < 10 and all(r["items"] == bytes(8) for r in got)
+    assert linking._sets_of(spark.createDataFrame([], "node long"), sets).count() == 0
+
+
 def test_parts_of_similar_sets():
     """Similar sets keep a part in common, whatever their sizes and however frequent their tokens."""
     rng = random.Random(5)
