@@ -17,7 +17,7 @@ from folioline.operators.lookup import one_link_per_path, pending_links, with_pa
 from folioline.operators.pages import number_pages
 from folioline.operators.upsert import instant
 from folioline.functions.vectors import has_width
-from folioline.session import settle
+from folioline.session import settle, spread
 from folioline.sinks.blobs import landed_paths, read_batch, save_blobs
 from folioline.sinks.runlog import write_run_log
 from folioline.sinks.store import PageStore
@@ -58,7 +58,9 @@ class Ingest:
 
         What an earlier try of batch ``batch_id`` has landed does not count; it is written anew.
         """
-        pathed, _ = with_path(links, **(self.path_args or {}))
+        return self._pending(with_path(links, **(self.path_args or {}))[0], batch_id)
+
+    def _pending(self, pathed: DataFrame, batch_id: int | None) -> DataFrame:
         landed = landed_paths(self.spark, self.blob_root, other_than=batch_id)
         known = self.store.documents().select(F.col("file_path").alias("path"))
         return pending_links(settle(one_link_per_path(pathed), "asked"), landed, known)
@@ -73,8 +75,11 @@ class Ingest:
         """
         if self.store.committed(batch_id):
             return self.store.version()
-        _, bad_links = with_path(links, **(self.path_args or {}))
-        todo = self._stage("todo", batch_id, self.pending(links, batch_id))
+        # a batch of few files would be taken apart by as few tasks, and again by each step that reads its links
+        placed, bad_links = with_path(spread(links.select("link")), **(self.path_args or {}))
+        placed = self._stage("links", batch_id, placed)
+        bad_links = self._stage("bad_links", batch_id, bad_links)
+        todo = self._stage("todo", batch_id, self._pending(placed, batch_id))
         if self.landing is not None:
             fetched = fetch_from_landing(todo, self.landing)
         elif self.fetcher is not None:

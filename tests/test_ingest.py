@@ -123,6 +123,20 @@ def test_stream_equals_batch(spark):
     assert streamed.store.version() == 4 and stored(streamed) == GOOD
 
 
+def test_links_of_one_file_are_spread(spark):
+    """Links that come in one partition are taken apart by several tasks, once; all of them, bad ones, nulls and repeats too."""
+    root = scratch_dir(spark, "test")
+    many = links(spark, *range(1, 200), 7, 7).union(spark.createDataFrame([(None,)], "link string")).coalesce(1)
+    ingest = Ingest(spark, root, landing=landing(spark), embedder=embedder, width=2)
+    ingest.run(many, 0, NOW)
+    placed = spark.read.parquet(f"{root}/staged/links/batch=0")
+    assert placed.count() == 201 and placed.rdd.getNumPartitions() > 1
+    assert placed.select("path").distinct().count() == 199
+    assert spark.read.parquet(f"{root}/staged/bad_links/batch=0").count() == 2
+    assert stored(ingest) == GOOD
+    assert ingest.rejects().where("stage = 'path'").count() == 2
+
+
 def test_scratch_folders(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
