@@ -105,7 +105,7 @@ def compare_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     ship_package(pairs.sparkSession)
     pairs = _settled(pairs, "pairs")
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), sets)
+    sets = _sets_of(pairs.select(F.col("a").alias("node")).distinct().union(pairs.select(F.col("b").alias("node")).distinct()), sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
