@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from folioline.llm import arrays
-from folioline.llm.rows import packed, text_key
+from folioline.llm.rows import text_key
 from folioline.session import settle, ship_package
 
 LENGTH = 50
@@ -67,7 +67,9 @@ def anchored_runs(t: arrays.Texts) -> tuple[np.ndarray, ...]:
     return texts, starts, ends - starts, h[best[starts]], arrays.span_hashes(sums, starts, ends - 1 + LENGTH)
 
 
-_PACK = "bucket int, anchors binary, wholes binary, docs binary, keys binary, counts binary, starts binary, windows binary"
+#: The upper parts of ids and places hardly change from one to the next and take no room once the shuffle is compressed.
+_PACK = ("bucket int, anchors binary, wholes binary, docs binary, upper_docs binary, keys binary, counts binary, starts binary, "
+         "upper_starts binary, windows binary")
 _FOUND = pa.schema([("kind", pa.int8()), ("doc", pa.int64()), ("key", pa.int32()), ("start", pa.int32()),
                     ("n", pa.int16()), ("anchor", pa.int64())])
 REMOVED, UNSETTLED = 0, 1
@@ -101,9 +103,11 @@ def _pack_runs(buckets: int):
                     inside = text[part]
                     own, first = np.unique(inside, return_index=True)
                     counts = np.diff(np.append(first, len(inside)))
+                    ids, places = docs[t.first + own], start[part] - t.offsets[inside]
                     rows.append((int(bucket[part[0]]), _cut(anchor[part] // np.uint64(buckets), 5), _cut(whole[part], 6),
-                                 docs[t.first + own].tobytes(), keys[t.first + own].tobytes(), counts.astype(np.int32).tobytes(),
-                                 (start[part] - t.offsets[inside]).astype(np.int32).tobytes(), n[part].astype(np.uint8).tobytes()))
+                                 ids.astype(np.uint16).tobytes(), (ids >> 16).tobytes(), keys[t.first + own].tobytes(),
+                                 counts.astype(np.int32).tobytes(), places.astype(np.uint16).tobytes(),
+                                 (places >> 16).astype(np.uint16).tobytes(), n[part].astype(np.uint8).tobytes()))
                 columns = [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PACK.split(", ")])
     return run
@@ -115,9 +119,9 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
     anchor = np.concatenate([_joined(x, 5) for x in rows["anchors"]])
     whole = np.concatenate([_joined(x, 6) for x in rows["wholes"]])
     counts = np.frombuffer(b"".join(rows["counts"]), np.int32)
-    doc = np.repeat(np.frombuffer(b"".join(rows["docs"]), np.int64), counts)
+    doc = np.repeat((np.frombuffer(b"".join(rows["upper_docs"]), np.int64) << 16) + np.frombuffer(b"".join(rows["docs"]), np.uint16), counts)
     key = np.repeat(np.frombuffer(b"".join(rows["keys"]), np.int32), counts)
-    start = np.frombuffer(b"".join(rows["starts"]), np.int32)
+    start = (np.frombuffer(b"".join(rows["upper_starts"]), np.uint16).astype(np.int32) << 16) + np.frombuffer(b"".join(rows["starts"]), np.uint16)
     n = np.frombuffer(b"".join(rows["windows"]), np.uint8)
     order = np.lexsort((start, key, doc, whole, anchor))
     anchor, whole, doc, key, start, n = (x[order] for x in (anchor, whole, doc, key, start, n))
@@ -138,23 +142,32 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
                                  pa.array(n[pick].astype(np.int16)), pa.array(anchor[pick].view(np.int64))], schema=_FOUND)
 
 
-def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, key, data): the id, a number that tells rows of one id apart by their texts, and the bytes."""
+def _identified(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
+    """(doc, key, data, more): the id, a number that tells rows of one id apart by their texts, the bytes, and what else is asked for."""
     ids = docs.groupBy(doc_id).count().where("count > 1")
     key = text_key(text).bitwiseAND(0x7FFFFFFF).cast("int") if ids.take(1) else F.lit(0)
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), key.alias("key"),
-                       F.col(text).alias("data"))
+                       F.col(text).alias("data"), *more)
+
+
+def _others(rows: DataFrame) -> list[T.StructField]:
+    return [f for f in rows.schema if f.name not in ("doc", "key", "data", "zipped")]
 
 
 def _compressed(rows: DataFrame) -> DataFrame:
-    """(doc, key, zipped) for a shuffle of whole texts."""
+    """``rows`` with ``zipped`` (null texts: null) in place of ``data``, for a shuffle of whole texts."""
+    names = ["doc", "key", *[f.name for f in _others(rows)]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            data = [zip_.compress(x.as_buffer()) if x.is_valid else zip_.compress(b"") for x in batch.column(2).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], ["doc", "key", "zipped"])
+            data = [zip_.compress(x.as_buffer()) if x.is_valid else None for x in batch.column(0).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary()), *batch.columns[1:]], ["zipped", *names])
 
-    return rows.select("doc", "key", "data").mapInArrow(run, "doc long, key int, zipped binary")
+    # keys are never null, so that no join filters them and all joins of the texts have one shuffle
+    schema = T.StructType([T.StructField("zipped", T.BinaryType()), T.StructField("doc", T.LongType(), False),
+                           T.StructField("key", T.IntegerType(), False), *_others(rows)])
+    return rows.select("data", *names).mapInArrow(run, schema)
 
 
 def _fetch_runs(buckets: int):
@@ -166,7 +179,7 @@ def _fetch_runs(buckets: int):
         zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             packs: dict[int, list] = {}
-            for doc, key, zipped, asked in zip(*[batch.column(i) for i in range(4)]):
+            for doc, key, zipped, asked in zip(*[batch.column(c) for c in ("doc", "key", "zipped", "asked")]):
                 text = unzip.decompress(zipped.as_py())
                 for start, n, anchor in zip(*[asked.values.field(i).to_pylist() for i in range(3)]):
                     packs.setdefault(anchor % buckets, []).append((doc.as_py(), key.as_py(), start, n, text[start:start + n - 1 + LENGTH]))
@@ -218,10 +231,12 @@ def _sort_windows(table: pa.Table) -> pa.Table:
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, key, start, end): byte spans, unmerged, whose 50-byte strings all start in a document of a smaller id too."""
     ship_package(docs.sparkSession)
-    return _spans(_identified(docs, doc_id, text))
+    rows = _identified(docs, doc_id, text)
+    return _spans(rows, _compressed(rows))
 
 
-def _spans(rows: DataFrame) -> DataFrame:
+def _spans(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``texts`` are the ``rows``, compressed."""
     spark = rows.sparkSession
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = rows.select("data", "doc", "key").mapInArrow(_pack_runs(buckets), _PACK)
@@ -231,7 +246,7 @@ def _spans(rows: DataFrame) -> DataFrame:
         "doc", "key", "start", (F.col("start") + F.col("n") - 1 + LENGTH).alias("end"))
     asked = found.where(F.col("kind") == UNSETTLED).groupBy("doc", "key").agg(
         F.collect_list(F.struct("start", "n", "anchor")).alias("asked"))
-    fetched = _compressed(rows).join(asked, ["doc", "key"]).select("doc", "key", "zipped", "asked").mapInArrow(
+    fetched = texts.join(asked, ["doc", "key"]).mapInArrow(
         _fetch_runs(buckets), "bucket int, docs binary, keys binary, starts binary, windows binary, data binary")
     closer = fetched.groupBy("bucket").applyInArrow(_sort_windows, "doc long, key int, start int, end int")
     return removed.unionByName(closer)
@@ -249,26 +264,35 @@ def _cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[by
     return data[~gone].tobytes(), int(gone.sum()), n_spans
 
 
-def _each_kept(rows: DataFrame, make, schema: str) -> DataFrame:
-    """``make(doc, key, left over, gone, spans, length)`` of each distinct row, after removal."""
-    spans = _spans(rows).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+#: Rows that a task cuts before it gives them on.
+_CUT_ROWS = 500
+
+
+def _each_kept(rows: DataFrame, make, made: dict[str, pa.DataType]) -> DataFrame:
+    """(doc, key, what else ``rows`` have, ``made``) of each row: ``make(length, left over, gone, spans)`` after removal; the length is null
+    where the text is.
+
+    The texts are shuffled once, for the runs to be looked at closely and for the removal.
+    """
     texts = _compressed(rows)
-    names = [c.split()[0] for c in schema.split(", ")]
+    spans = _spans(rows, texts).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    names = ["doc", "key", *[f.name for f in _others(rows)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        none = np.zeros(0, np.int64)
+        for batch in (b.slice(i, _CUT_ROWS) for b in batches for i in range(0, b.num_rows, _CUT_ROWS)):
             out = []
-            for doc, key, zipped, found in zip(*[batch.column(i) for i in range(4)]):
-                data = np.frombuffer(unzip.decompress(zipped.as_py()), np.uint8)
-                none = np.zeros(0, np.int64)
+            for zipped, found in zip(batch.column("zipped"), batch.column("spans")):
+                data = np.frombuffer(unzip.decompress(zipped.as_py()) if zipped.is_valid else b"", np.uint8)
                 starts, ends = (found.values.field(i).to_numpy() for i in (0, 1)) if found.is_valid else (none, none)
-                out.append((doc.as_py(), key.as_py(), *make(len(data), *_cut_out(data, starts, ends))))
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=kinds) if out else pa.RecordBatch.from_pylist([], schema=kinds)
+                out.append(make(len(data) if zipped.is_valid else None, *_cut_out(data, starts, ends)))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(c, kind) for c, kind in zip(zip(*out), made.values())],
+                                             [*names, *made])
 
-    to_arrow = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    kinds = pa.schema([(c.split()[0], to_arrow[c.split()[1]]) for c in schema.split(", ")])
-    return texts.join(spans, ["doc", "key"], "left").select("doc", "key", "zipped", "spans").mapInArrow(run, schema)
+    met = texts.join(spans, ["doc", "key"], "left")
+    to_spark = {pa.int64(): T.LongType(), pa.string(): T.StringType(), pa.binary(): T.BinaryType()}
+    return met.mapInArrow(run, T.StructType([met.schema[c] for c in names] + [T.StructField(c, to_spark[kind]) for c, kind in made.items()]))
 
 
 def removal_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -280,10 +304,10 @@ def removal_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ship_package(docs.sparkSession)
 
     def make(length, left, gone, spans):
-        return length, gone, spans, hashlib.sha256(left).hexdigest()
+        return length or 0, gone, spans, hashlib.sha256(left).hexdigest()
 
-    made = _each_kept(_identified(docs, doc_id, text), make,
-                      "doc long, key int, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    made = _each_kept(_identified(docs, doc_id, text), make, {
+        "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()})
     return made.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
@@ -293,20 +317,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A character that is cut within loses the rest of its bytes too. Null texts stay null.
     """
     ship_package(docs.sparkSession)
-    numbered = _identified(docs, doc_id, text)
 
     def make(length, left, gone, spans):
-        return gone, left.decode("utf-8", "ignore")
-
-    made = _each_kept(numbered, make, "doc long, key int, gone long, left string").where("gone > 0").dropDuplicates(["doc", "key"])
-    changed = settle(made.select("doc", "key", "left"), "cut")
-    rows = packed(docs, text, doc_id=doc_id).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"),
-        F.col("key").bitwiseAND(0x7FFFFFFF).cast("int").alias("_key"), "row")
-    met = rows.join(changed, (F.col("_doc") == F.col("doc")) & ((F.col("key") == 0) | (F.col("_key") == F.col("key"))), "left")
-    new = F.coalesce(F.col("left"), F.col(f"row.`{text}`"))
-    out = {text: new}
+        return gone, None if length is None else left.decode("utf-8", "ignore").encode() if gone else left
+
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    made = _each_kept(_identified(docs, doc_id, text, F.struct(*rest).alias("rest")), make, {"gone": pa.int64(), "left": pa.binary()})
+    out = {c: F.col(f"rest.`{c}`") for c in docs.columns if c != text}
+    out[text] = F.col("left").cast(docs.schema[text].dataType)
     if n_chars in docs.columns:
-        out[n_chars] = F.when(F.col("left").isNull(), F.col(f"row.`{n_chars}`")).otherwise(
-            F.length(new).cast(docs.schema[n_chars].dataType))
-    return met.select(*[out.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+        out[n_chars] = F.when(F.col("gone") > 0, F.length(out[text]).cast(docs.schema[n_chars].dataType)).otherwise(out[n_chars])
+    return made.select(*[out[c].alias(c) for c in docs.columns])

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from folioline.llm import linking, near_join, paragraphs, substrings
+from tests.conftest import plan_of
 from tests.llm.fixtures import DOCS, VOCABULARY, messy_rows
 
 
@@ -208,6 +209,29 @@ def test_remove_repeats(spark):
     assert changed and all(r.n_chars == len(r.text) for r in changed)
 
 
+def test_texts_are_shuffled_once(spark):
+    """The runs to be looked at closely and the removal read the same shuffle; null texts stay null."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(VOCABULARY) for _ in range(60)) if i % 2 else None) for i in range(40)]
+    rows += [(100 + i, text and text[:200] + "x" + text[200:]) for i, text in rows]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+        left = {r.doc_id: r.text for r in cut.collect()}
+        assert "ReusedExchange" in plan_of(cut).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert all((left[i] is None) == (text is None) for i, text in rows)
+
+
+def test_ids_and_places_of_many_bytes(spark):
+    passage = " ".join(random.Random(6).choice(VOCABULARY) for _ in range(30))
+    rows = [(-2**62, f"{'-' * 70_000}{passage}"), (2**62 + 5, f"{'+' * 200_000}{passage}+")]
+    found = substrings.removal_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found)) == _removal(rows)[0]
+
+
 def test_long_texts_and_unique_ids(spark):
     rows = [r for r in messy_rows() if len(r[1] or "") > 5_000]
     assert len(rows) == 2
