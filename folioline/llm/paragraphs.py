@@ -6,7 +6,8 @@ shares a band with probability 1 - (1 - 0.8**3)**10 = 0.9992. Of each component
 
 Passages within lines: a line is cut where the hash of ``GRAM`` words is the least of ``SPREAD`` neighbouring ones, so that a
 passage of ``PASSAGE`` words has two cuts or more of its own, wherever it stands (unless such words repeat within it). Words
-from one cut to the end of the next one's are a piece; of equal pieces the first stays, and the others go from long lines.
+from one cut to the end of the next one's are a piece; of equal pieces the first stays, and the others go from long lines. With
+``across_lines`` the words of a text are cut as one line, so that passages over several lines, and in lines of any length, are found too.
 """
 
 from __future__ import annotations
@@ -114,8 +115,8 @@ def _pieces(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np
 _TABLE = "paragraphs array<struct<line: int, node: long, n: int>>, pieces array<struct<line: int, at: int, n: int, cut: boolean, piece: long>>"
 
 
-def _digests(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep``, ``paragraphs`` and ``pieces``: arrays of what each row has."""
+def _digests(docs: DataFrame, text: str, keep: list[str], across_lines: bool) -> DataFrame:
+    """``keep``, ``paragraphs`` and ``pieces``: arrays of what each row has; ``across_lines`` a text counts as line 0 as a whole."""
     def listed(owner: np.ndarray, rows: int, **columns: np.ndarray) -> pa.Array:
         items = pa.StructArray.from_arrays([pa.array(x) for x in columns.values()], list(columns))
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)), items)
@@ -125,12 +126,17 @@ def _digests(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
             for t in arrays.texts_of(batch.column(0)):
                 hashes, first, last, owner, line = _paragraphs(t)
                 nodes, line = _nodes(*_sets(hashes, first, last)), line.astype(np.int32)
-                which, at, n, keys = _pieces(hashes, first, last)
+                if across_lines:
+                    edges = np.append(first, len(hashes))[np.searchsorted(owner, np.arange(len(t) + 1))]
+                    which, at, n, keys = _pieces(hashes, edges[:-1], edges[1:])
+                    of, on, cut = which, np.zeros(len(which), np.int32), np.ones(len(which), bool)
+                else:
+                    which, at, n, keys = _pieces(hashes, first, last)
+                    of, on, cut = owner[which], line[which], (last - first)[which] > LONG
                 kept = batch.slice(t.first, len(t)).columns[1:]
                 yield pa.RecordBatch.from_arrays(kept + [
                     listed(owner, len(t), line=line, node=nodes, n=(last - first).astype(np.int32)),
-                    listed(owner[which], len(t), line=line[which], at=at.astype(np.int32), n=n.astype(np.int32),
-                           cut=(last - first)[which] > LONG, piece=keys.view(np.int64)),
+                    listed(of, len(t), line=on, at=at.astype(np.int32), n=n.astype(np.int32), cut=cut, piece=keys.view(np.int64)),
                 ], [*keep, "paragraphs", "pieces"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
@@ -224,19 +230,56 @@ def _short(gone: Column) -> Column:
     return F.aggregate(gone, state(*[F.lit(x) for x in (-2, 0, 0, 0)]), step, ended)
 
 
-def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _in_lines(paragraphs, pieces, gone):
+    """(passages, n_short): ``pieces`` of a text as spans of the lines that stay, and how many of the ``gone`` are in short runs without
+    a word of a piece."""
+    if pieces is None:
+        return None
+    gone = gone or []
+    removed, touched, passages = {g["line"] for g in gone}, set(), []
+    spans: list[list[int]] = []
+    for p in sorted(pieces, key=lambda p: p["at"]):
+        if spans and p["at"] <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], p["at"] + p["n"])
+        else:
+            spans.append([p["at"], p["at"] + p["n"]])
+    begin = k = 0
+    for p in paragraphs:
+        end = begin + p["n"]
+        while k < len(spans) and spans[k][0] < end:
+            touched.add(p["line"])
+            if p["line"] not in removed:
+                passages.append((p["line"], max(begin, spans[k][0]) - begin, min(end, spans[k][1]) - max(begin, spans[k][0])))
+            if spans[k][1] > end:
+                break
+            k += 1
+        begin = end
+    n_short, run = 0, []
+    for g in [*gone, None]:
+        if run and (g is None or g["i"] != run[-1]["i"] + 1):
+            if sum(r["n"] for r in run) < PASSAGE:
+                n_short += sum(r["line"] not in touched for r in run)
+            run = []
+        run.append(g)
+    return passages, n_short
+
+
+def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", across_lines: bool = False) -> DataFrame:
     """(doc_id, key, n_paragraphs, removed, n_short, passages) for each row: ``removed`` are the lines, counted from 0, that are near
     copies of a paragraph in a document of a smaller id or in an earlier line, ``n_short`` how many of them are in runs, one beside the
     other, of fewer than ``PASSAGE`` words. ``passages (line, at, n)`` are the pieces, ``n`` words from word ``at`` on, counted from 0, that stand at an
     earlier place too, of lines of more than ``LONG`` words that are not removed as a whole. Pieces may overlap.
 
+    ``across_lines``: texts of ``PASSAGE`` words are cut without regard to lines. ``passages`` are then the repeated words of all lines
+    that are not removed, whatever their length, a span each, and removed lines with words of a repeated piece are not short.
+
     Null and empty texts have no paragraphs. ``key`` is a hash of the text: rows of one id stand for documents of
     their own, in the order of their keys; rows that repeat in full are judged alike. Null ids come last.
     """
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("key"), F.col(text).alias("_text"))
-    table = settle(_digests(rows, "_text", ["doc_id", "key"]), "paragraphs")
+    table = settle(_digests(rows, "_text", ["doc_id", "key"], across_lines), "paragraphs")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = _bands(rows, "_text", groups).groupBy("grp").applyInArrow(_shared_tokens, "node long, n int, token long, df int")
     index = settle(shared.select(F.col("token").alias("key"), "node"), "bands")
@@ -252,12 +295,16 @@ def repeated_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     gone = each.join(several, "node").where(place != F.col("stays")).groupBy(
         F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(
         F.array_sort(F.collect_set(F.struct("i", "line", "n"))).alias("gone")).select(
-        "_d", "_k", F.col("gone.line").alias("removed"), _short(F.col("gone")).alias("n_short"))
+        "_d", "_k", "gone", F.col("gone.line").alias("removed"), _short(F.col("gone")).alias("n_short"))
     alike = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k"))
     alike_too = F.col("doc_id").eqNullSafe(F.col("_pd")) & (F.col("key") == F.col("_pk"))
-    met = table.select("doc_id", "key", F.size("paragraphs").cast("long").alias("n_paragraphs")).join(gone, alike, "left").join(
+    met = table.select("doc_id", "key", "paragraphs", F.size("paragraphs").cast("long").alias("n_paragraphs")).join(gone, alike, "left").join(
         _repeated_pieces(table), alike_too, "left")
     none = F.array().cast("array<struct<line: int, at: int, n: int>>")
+    if across_lines:
+        split = F.udf(_in_lines, "passages array<struct<line: int, at: int, n: int>>, n_short long")
+        met = met.withColumn("split", split(F.when(F.col("passages").isNotNull(), F.col("paragraphs")), "passages", "gone"))
+        met = met.withColumn("passages", F.col("split.passages")).withColumn("n_short", F.coalesce("split.n_short", "n_short"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return met.select("doc_id", "key", "n_paragraphs", removed.alias("removed"), F.coalesce("n_short", F.lit(0).cast("long")).alias("n_short"),
                       F.filter(F.coalesce("passages", none), lambda p: ~F.array_contains(removed, p["line"])).alias("passages"))
@@ -284,12 +331,12 @@ def _without_passages(text, passages):
     return "\n".join(lines)
 
 
-def remove_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", across_lines: bool = False) -> DataFrame:
     """``docs`` without the lines and passages that :func:`repeated_paragraphs` finds; no row goes, and texts without any are as they were.
 
     A line of which passages go stays a line.
     """
-    found = repeated_paragraphs(docs, doc_id, text).where((F.size("removed") > 0) | (F.size("passages") > 0))
+    found = repeated_paragraphs(docs, doc_id, text, across_lines).where((F.size("removed") > 0) | (F.size("passages") > 0))
     cut = settle(found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("removed").alias("_lines"), F.col("passages").alias(
         "_passages")).dropDuplicates(["_d", "_k"]), "removed")
     table = packed(docs, text, doc_id=doc_id)

@@ -345,6 +345,33 @@ def test_passages_within_long_lines(spark):
             assert texts[i] == text
 
 
+def test_passages_over_lines_of_any_length(spark):
+    """Passages of 50 words and more broken into lines of 8 to 60 words, with own words before and after in the same lines."""
+    rng = random.Random(32)
+    fresh = iter(range(10**6))
+    own = lambda n: [f"{rng.choice(VOCABULARY)}{next(fresh)}" for _ in range(n)]
+    passages = [own(rng.randint(50, 70)) for _ in range(20)]
+    rows = [(200, None), (201, ""), (202, " ".join(own(300)))]
+    for i in range(60):
+        words = own(rng.randint(30, 60)) + passages[i % 20] + own(rng.randint(30, 60))
+        text, at = "", 0
+        while at < len(words):
+            size = rng.randint(8, 60)
+            text, at = text + " ".join(words[at:at + size]) + rng.choice(["\n", "\n\n"]), at + size
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in paragraphs.repeated_paragraphs(docs, across_lines=True).collect()}
+    texts = {r.doc_id: r.text for r in paragraphs.remove_paragraphs(docs, across_lines=True).collect()}
+    for i, text in rows:
+        gone = {(p.line, b) for p in found[i].passages for b in range(p.at, p.at + p.n)}
+        lines = [line.split() for line in (text or "").split("\n")]
+        assert all(lines[k][b] in passages[i % 20] for k, b in gone)
+        gone |= {(k, b) for k in found[i].removed for b in range(len(lines[k]))}
+        assert bool(gone) == (20 <= i < 60)
+        left = [w for k, line in enumerate(lines) for b, w in enumerate(line) if (k, b) not in gone]
+        assert (texts[i] or "").split() == left
+
+
 def test_a_line_that_goes_has_no_passages(spark):
     """A long line that goes as a whole is counted once, and short lines apart; null ids come last."""
     line = " ".join(f"w{k}" for k in range(120))
